@@ -39,7 +39,7 @@ def fit_peak_models(
 ) -> dict[str, PeakModel]:
     """Fit every classifier on rows of ``features`` and ``peak_hour``."""
     fits = [lambda spec=spec: _fit_or_none(train, spec, parallelism) for spec in specs]
-    return {fitted.name: fitted for fitted in fit_all(fits, parallelism)}
+    return {fitted.name: fitted for fitted in fit_all(train.sparkSession, fits, parallelism)}
 
 
 def _fit_or_none(train: DataFrame, spec: ModelSpec, parallelism: int) -> PeakModel:

@@ -16,10 +16,10 @@ BOOSTING = "boosting"
 FOREST = "forest"
 
 # Deepest tree a compact budget grows, by kind of model.
-_COMPACT_DEPTH = {BOOSTING: 5, FOREST: 10}
+_COMPACT_DEPTH = {BOOSTING: 5, FOREST: 8}
 # Compact models have this share of the trees, within the given bounds.
 _COMPACT_SHARE = 12
-_COMPACT_TREES = {BOOSTING: (10, 40), FOREST: (20, 60)}
+_COMPACT_TREES = {BOOSTING: (10, 30), FOREST: (20, 40)}
 _COMPACT_STEP = 0.3
 # MLlib trees have at most 30 levels; 12 hold 4,096 leaves.
 _FULL_DEPTH = 12

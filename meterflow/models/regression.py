@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.chunks import join_on
@@ -102,10 +102,13 @@ def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator:
     )
 
 
-def fit_all(fits: Sequence[Callable[[], Model]], parallelism: int) -> list[Model]:
+def fit_all(
+    spark: SparkSession, fits: Sequence[Callable[[], Model]], parallelism: int
+) -> list[Model]:
     """Run independent fits at once; their Spark jobs share the cluster."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        running = [pool.submit(inheritable_thread_target(fit)) for fit in fits]
+        running = [pool.submit(inherit(fit)) for fit in fits]
         return [fit.result() for fit in running]
 
 

@@ -43,7 +43,9 @@ from ..schema import DATETIME, DAY, ENSEMBLE, PEAK_HOUR, SPLIT_RATIO, TARGET, TO
 from ..session import stage, stage_folder
 from .frames import build_daily_peak_frame
 
-_PARALLEL_FITS = 4
+_PARALLEL_FITS = 8
+# Fewer rows than this are not worth a task of their own in every tree level.
+_ROWS_PER_TASK = 20_000
 
 
 @dataclass
@@ -98,7 +100,7 @@ def train_and_evaluate(
 
     frame = stage(model_frame, folder, "model_frame")
     split = stage(chrono_split(frame, series, split_ratio), folder, "split_frame")
-    vectors = assemble(split, features, [*keys, SPLIT, F.col(TARGET).alias(ACTUAL)]).persist()
+    vectors = _training_vectors(split, features, keys).persist()
     try:
         models, trial_models = _fit_regressors(
             vectors, regressors(profile, full_budget, compact_frame), parallelism
@@ -154,6 +156,15 @@ def train_and_evaluate(
     )
 
 
+def _training_vectors(split: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Feature vectors in a fixed partitioning and order, so seeded fits repeat."""
+    spark = split.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(most, split.count() // _ROWS_PER_TASK + 1)
+    placed = split.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    return assemble(placed, features, [*keys, SPLIT, F.col(TARGET).alias(ACTUAL)])
+
+
 def _fit_regressors(vectors: DataFrame, specs, parallelism: int):
     """Every spec fitted on all training rows, and again without the validation rows."""
     fit_rows = vectors.filter(F.col(SPLIT) == FIT)
@@ -167,7 +178,7 @@ def _fit_regressors(vectors: DataFrame, specs, parallelism: int):
     finals = [
         partial(estimator(spec, ACTUAL, train_stats).fit, train_rows) for spec in specs
     ]
-    fitted = fit_all([*finals, *trials], parallelism)
+    fitted = fit_all(vectors.sparkSession, [*finals, *trials], parallelism)
     names = [spec.name for spec in specs]
     return (
         dict(zip(names, fitted[: len(names)], strict=True)),
