@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The question mark of the meter export, and the tokens a pandas
@@ -47,9 +49,16 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def finite(value: Column) -> Column:
-    """NULL for NaN and both infinities (Spark sorts NaN above infinity)."""
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+def known_rows(table: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is NULL or NaN.
+
+    ``na.drop`` means the same but hides its columns from the file reader;
+    plain null checks reach the scan as pushed filters.
+    """
+    kinds = dict(table.dtypes)
+    checks = [f"`{name}` IS NOT NULL" for name in names]
+    checks += [f"NOT isnan(`{name}`)" for name in names if kinds[name] == "double"]
+    return table.filter(" AND ".join(checks))
 
 
 def reading_timestamp(date: Column, time: Column) -> Column:

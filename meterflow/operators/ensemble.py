@@ -123,11 +123,12 @@ def weighted_vote(
     """The label with the highest weighted probability; the smallest wins ties.
 
     ``probabilities`` has one row per key, model and label. A label a model
-    does not know simply has no row and adds nothing.
+    does not know simply has no row and adds nothing. Weights are one row per
+    model, so they are broadcast and no model becomes one task's work.
     """
     score = F.sum(F.col("weight") * F.col("probability"))
     return (
-        probabilities.join(weights, MODEL)
+        probabilities.join(F.broadcast(weights), MODEL)
         .groupBy(*keys, label)
         .agg(score.alias("_score"))
         .groupBy(*keys)
@@ -137,7 +138,6 @@ def weighted_vote(
 
 def vote_column(arrays: Mapping[str, Column], weights: Mapping[str, float], labels: int) -> Column:
     """The same vote over one probability array per model, index = label."""
-    combined = F.lit(0.0)
     scores = []
     for label in range(labels):
         combined = F.lit(0.0)

@@ -1,19 +1,19 @@
 """Time-series features of an hourly table.
 
-Each family is a dictionary of expressions over one chunk window, so any number
-of families shares a single shuffle and sort (see :mod:`.chunks`).
+Each family is a dictionary of SQL expressions over one chunk window, so any
+number of families shares a single shuffle and sort (see :mod:`.chunks`).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from ..functions import calendar_fields, finite
+from ..functions import calendar_fields, known_rows
 from ..schema import (
     BASE_COLUMNS,
     CURRENT,
@@ -50,38 +50,38 @@ LAG_REACH = max(LAGS)
 ROLL_REACH = max(ROLL_WINDOWS) - 1
 
 
-def target_column(window: WindowSpec, horizon: int = HORIZON) -> Column:
+def target_column(window: str, horizon: int = HORIZON) -> dict[str, str]:
     """Mean power of the next rows: fewer near the end, none after the last row."""
-    return F.avg(POWER).over(window.rowsBetween(1, horizon))
+    frame = f"{window} ROWS BETWEEN 1 FOLLOWING AND {horizon} FOLLOWING"
+    return {TARGET: f"avg({POWER}) OVER ({frame})"}
 
 
-def lag_columns(window: WindowSpec) -> dict[str, Column]:
+def lag_columns(window: str) -> dict[str, str]:
     return {
-        f"{name}_lag_{k}": F.lag(column, k).over(window)
+        f"{name}_lag_{k}": f"lag({column}, {k}) OVER ({window})"
         for k in LAGS
         for name, column in _SHORT.items()
     }
 
 
-def roll_columns(window: WindowSpec) -> dict[str, Column]:
+def roll_columns(window: str) -> dict[str, str]:
     """Rolling statistics; NULL until a window is full."""
-    found = {}
-    for k in ROLL_WINDOWS:
-        frame = window.rowsBetween(-(k - 1), 0)
-        full = F.col(POSITION) >= k - 1
-        statistics = {
-            "power_roll_mean": F.avg(POWER),
-            "power_roll_min": F.min(POWER),
-            "power_roll_max": F.max(POWER),
-            "power_roll_std": F.stddev_samp(POWER),
-            "current_roll_mean": F.avg(CURRENT),
-        }
-        for name, statistic in statistics.items():
-            found[f"{name}_{k}"] = F.when(full, statistic.over(frame))
-    return found
+    statistics = {
+        "power_roll_mean": f"avg({POWER})",
+        "power_roll_min": f"min({POWER})",
+        "power_roll_max": f"max({POWER})",
+        "power_roll_std": f"stddev_samp({POWER})",
+        "current_roll_mean": f"avg({CURRENT})",
+    }
+    return {
+        f"{name}_{k}": f"CASE WHEN {POSITION} >= {k - 1} THEN {statistic} OVER "
+        f"({window} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END"
+        for k in ROLL_WINDOWS
+        for name, statistic in statistics.items()
+    }
 
 
-def diff_columns(window: WindowSpec) -> dict[str, Column]:
+def diff_columns(window: str) -> dict[str, str]:
     steps = {
         "power_diff_1": (POWER, 1),
         "power_diff_24": (POWER, 24),
@@ -89,20 +89,21 @@ def diff_columns(window: WindowSpec) -> dict[str, Column]:
         "current_diff_1": (CURRENT, 1),
     }
     return {
-        name: F.col(column) - F.lag(column, k).over(window)
+        name: f"{column} - lag({column}, {k}) OVER ({window})"
         for name, (column, k) in steps.items()
     }
 
 
-def pct_columns(window: WindowSpec) -> dict[str, Column]:
+def pct_columns(window: str) -> dict[str, str]:
     """Relative change to the previous row; NULL after a zero."""
+    steps = {"power_pct_change_1": POWER, "current_pct_change_1": CURRENT}
     return {
-        "power_pct_change_1": F.try_divide(F.col(POWER), F.lag(POWER, 1).over(window)) - 1.0,
-        "current_pct_change_1": F.try_divide(F.col(CURRENT), F.lag(CURRENT, 1).over(window)) - 1.0,
+        name: f"try_divide({column}, lag({column}, 1) OVER ({window})) - 1D"
+        for name, column in steps.items()
     }
 
 
-def ewm_columns(window: WindowSpec, chunk_rows: int = CHUNK_ROWS) -> dict[str, Column]:
+def ewm_columns(window: str, chunk_rows: int = CHUNK_ROWS) -> dict[str, str]:
     """Exponentially weighted means of power, newest row first in weight.
 
     A row weighs ``decay**age``. Writing that as ``decay**-n`` of a rising row
@@ -111,15 +112,16 @@ def ewm_columns(window: WindowSpec, chunk_rows: int = CHUNK_ROWS) -> dict[str, C
     each chunk, which keeps the weights far below the largest double; the chunk
     starts ``EWM_REACH`` rows early, beyond which weights are negligible.
     """
-    running = window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    number = F.col(POSITION) - F.col(CHUNK) * chunk_rows + EWM_REACH
-    value = finite(F.col(POWER))
+    running = f"OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    number = f"double({POSITION} - {CHUNK} * {chunk_rows} + {EWM_REACH})"
+    known = f"abs({POWER}) < double('Infinity')"
     found = {}
     for span in EWM_SPANS:
-        weight = F.pow(F.lit(1.0 / _decay(span)), number.cast("double"))
-        total = F.sum(value * weight).over(running)
-        weights = F.sum(F.when(value.isNotNull(), weight)).over(running)
-        found[f"power_ewm_{span}"] = F.try_divide(total, weights)
+        weight = f"CASE WHEN {known} THEN pow({1.0 / _decay(span)!r}D, {number}) END"
+        value = f"CASE WHEN {known} THEN {POWER} * pow({1.0 / _decay(span)!r}D, {number}) END"
+        found[f"power_ewm_{span}"] = (
+            f"try_divide(sum({value}) {running}, sum({weight}) {running})"
+        )
     return found
 
 
@@ -131,7 +133,7 @@ def interaction_columns() -> dict[str, Column]:
 
 
 def _family(hourly, series_cols, names, columns, back, ahead=0) -> DataFrame:
-    known = hourly.na.drop(subset=BASE_COLUMNS)
+    known = known_rows(hourly, BASE_COLUMNS)
     frame = over_chunks(known, columns, series_cols, back=back, ahead=ahead)
     return frame.select(*series_cols, DATETIME, *names)
 
@@ -142,7 +144,7 @@ def forward_target(
     check_horizon(horizon)
     return _family(
         hourly, series_cols, [POWER, TARGET],
-        lambda w: {TARGET: target_column(w, horizon)}, back=0, ahead=horizon,
+        partial(target_column, horizon=horizon), back=0, ahead=horizon,
     )
 
 
@@ -189,22 +191,14 @@ def feature_frame(
 ) -> DataFrame:
     """Every feature and the target of every hourly row, complete or not."""
 
-    def columns(window: WindowSpec) -> dict[str, Column]:
-        found = {
-            TARGET: target_column(window, horizon),
-            **lag_columns(window),
-            **roll_columns(window),
-        }
+    def columns(window: str) -> dict[str, str]:
+        found = target_column(window, horizon) | lag_columns(window) | roll_columns(window)
         if not compact:
-            found |= {
-                **diff_columns(window),
-                **pct_columns(window),
-                **ewm_columns(window, chunk_rows),
-            }
+            found |= diff_columns(window) | pct_columns(window) | ewm_columns(window, chunk_rows)
         return found
 
     frame = over_chunks(
-        hourly.na.drop(subset=BASE_COLUMNS),
+        known_rows(hourly, BASE_COLUMNS),
         columns,
         series_cols,
         back=LAG_REACH if compact else EWM_REACH,

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ENSEMBLE, GOAL_ACCURACY, GOAL_RAE
+from ..schema import GOAL_ACCURACY, GOAL_RAE
 from .chunks import join_on
 
 MODEL = "Model"
@@ -32,6 +32,10 @@ def regression_metrics(predictions: DataFrame, keys: Sequence[str] = (MODEL,)) -
     subtracts two large sums and loses the digits that matter.
     """
     means = predictions.groupBy(*keys).agg(F.avg(ACTUAL).alias("_mean"))
+    if list(keys) == [MODEL]:
+        # One row per model. Few models share all rows, so shuffling by model
+        # would fill a few tasks; groups with series are left to the planner.
+        means = F.broadcast(means)
     error = F.col(PREDICTED) - F.col(ACTUAL)
     deviation = F.col(ACTUAL) - F.col("_mean")
     sums = (
@@ -108,9 +112,5 @@ def stage_counts(**stages: DataFrame) -> DataFrame:
 
 
 def best_predictions(predictions: DataFrame, board: DataFrame) -> DataFrame:
-    """The rows of the leaderboard's first model."""
-    return predictions.join(best_model(board).select(MODEL), MODEL, "left_semi")
-
-
-def is_ensemble(name: str) -> bool:
-    return name == ENSEMBLE
+    """The rows of the leaderboard's first model (one row, so it is broadcast)."""
+    return predictions.join(F.broadcast(best_model(board).select(MODEL)), MODEL, "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import epoch_hour, hour_start, reading_timestamp, to_number
+from ..functions import epoch_hour, hour_start, known_rows, reading_timestamp, to_number
 from ..schema import BASE_COLUMNS, DATE, DATETIME, NUMERIC_COLUMNS, TIME
 
 
@@ -22,7 +22,7 @@ def type_readings(raw: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:
 
 def required_readings(typed: DataFrame) -> DataFrame:
     """Only readings with a time, a power, a voltage and a current."""
-    return typed.na.drop(subset=[DATETIME, *BASE_COLUMNS])
+    return known_rows(typed, [DATETIME, *BASE_COLUMNS])
 
 
 def hourly_mean(readings: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:
@@ -31,6 +31,6 @@ def hourly_mean(readings: DataFrame, series_cols: Sequence[str] = ()) -> DataFra
         *series_cols, epoch_hour(F.col(DATETIME)).alias("_hour")
     ).agg(*[F.avg(name).alias(name) for name in BASE_COLUMNS])
     # Opposite infinities average to NaN, which counts as missing.
-    return hours.na.drop(subset=BASE_COLUMNS).select(
+    return known_rows(hours, BASE_COLUMNS).select(
         *series_cols, hour_start(F.col("_hour")).alias(DATETIME), *BASE_COLUMNS
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import known_rows
 from ..operators.chunks import CHUNK_ROWS
 from ..operators.daily import daily_peaks, with_previous_day
 from ..operators.features import check_horizon, feature_frame
@@ -63,4 +64,4 @@ def build_daily_peak_frame(
     names = COMPACT_DAILY_FEATURES if compact else DAILY_FEATURES
     frame = with_previous_day(daily_peaks(hourly, series_cols), series_cols)
     columns = [*names, PEAK_HOUR]
-    return frame.na.drop(subset=columns).select(*series_cols, DAY, *columns)
+    return known_rows(frame, columns).select(*series_cols, DAY, *columns)

@@ -77,14 +77,15 @@ def _newest(table: DataFrame, rows: int, moment: Column, tiebreak: Sequence[str]
     Range partitions are sorted on their own; a row's rank is its place in its
     partition plus the size of the partitions before it. The checkpoint fixes
     the partitions between counting and ranking. One size per partition is all
-    that is broadcast.
+    that is broadcast. The row number as last key spreads copies of one row.
     """
     spark = table.sparkSession
     staging_root(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.desc("_moment"), *tiebreak]
+    order = [F.desc("_moment"), *tiebreak, "_copy"]
     placed = (
         table.withColumn("_moment", moment)
+        .withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())

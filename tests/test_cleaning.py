@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterflow import load_raw_data, preprocess_hourly
-from meterflow.functions import epoch_hour, finite, hour_start, reading_timestamp, to_number
+from meterflow.functions import epoch_hour, hour_start, known_rows, reading_timestamp, to_number
 from meterflow.schema import RAW_COLUMNS
 
 
@@ -60,9 +60,10 @@ def test_numbers(spark):
     assert found == cases
 
 
-def test_finite(spark):
-    table = spark.createDataFrame([(x,) for x in (1.0, float("nan"), float("inf"), None)], "x double")
-    assert [r[0] for r in table.select(finite(F.col("x"))).collect()] == [1.0, None, None, None]
+def test_known_rows(spark):
+    rows = [(1.0, "a"), (float("nan"), "a"), (float("inf"), "a"), (None, "a"), (1.0, None)]
+    table = known_rows(spark.createDataFrame(rows, "x double, s string"), ["x", "s"])
+    assert [row.x for row in table.collect()] == [1.0, float("inf")]
 
 
 def test_reader_and_hourly_table(spark, tmp_path):

@@ -145,3 +145,10 @@ def test_recent_rows_with_a_hot_hour_and_ties(spark, wanted):
     found = sorted(row.id for row in recent_rows(table, wanted, F.col("at"), ["id"]).collect())
     order = sorted(rows, key=lambda r: (-(r[1] - start).total_seconds() if r[1] else 1e9, r[0]))
     assert found == sorted(r[0] for r in order[: wanted or None])
+
+
+def test_recent_rows_with_many_copies_of_one_row(spark):
+    rows = [("same", dt.datetime(2024, 1, 1))] * 200 + [("new", dt.datetime(2024, 1, 2))] * 3
+    table = spark.createDataFrame(rows, "name string, at timestamp_ntz").repartition(4)
+    found = recent_rows(table, 103, F.col("at"), ["name"]).groupBy("name").count()
+    assert {row["name"]: row["count"] for row in found.collect()} == {"same": 100, "new": 3}

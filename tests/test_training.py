@@ -17,6 +17,7 @@ from meterflow import (
     predict_what_if,
     preprocess_hourly,
     recent_readings,
+    train_and_evaluate,
 )
 from meterflow.models import peak_hour
 from meterflow.models.registry import classifiers, profile_name, regressors
@@ -146,3 +147,15 @@ def test_recent_readings_and_repeatability(spark, trained):
     # 10,000 minutes touch 167 hours; 48 lead in and the last has no target.
     assert frame.count() == 167 - 49
     assert frame.exceptAll(again).count() == 0
+
+
+def test_older_feature_set_blends_every_model(spark, trained):
+    hourly = trained[0].tables["hourly"]
+    frame = build_model_frame(hourly, compact=True)
+    result = train_and_evaluate(frame, hourly, profile="fast", compact_frame=True)
+    assert set(result.weights) == {"Linear Regression", "Gradient Boosting"}
+    assert all(weight > 0 for weight in result.weights.values())
+    assert list(result.peak_models) == ["RandomForest"]
+    assert result.daily_features[-1] == "prev_day_std" and len(result.features) == 43
+    assert all(row.R2 > 0 for row in result.tables["leaderboard"].collect())
+    assert predict_next_6_hours(result).count() == 1
