@@ -18,10 +18,17 @@ from ..schema import (
     DAILY_FEATURES,
     DATETIME,
     DAY,
+    DIFF_FEATURES,
+    EWM_FEATURES,
     FEATURES,
     HORIZON,
+    INTERACTIONS,
+    LAGS,
+    PCT_FEATURES,
     PEAK_HOUR,
+    ROLL_WINDOWS,
     TARGET,
+    VOLTAGE,
 )
 
 
@@ -41,20 +48,47 @@ def build_model_frame(
     check_horizon(forecast_horizon)
     names = [*(COMPACT_FEATURES if compact else FEATURES), TARGET]
     frame = feature_frame(hourly, series_cols, forecast_horizon, compact, chunk_rows)
-    return frame.filter(_usable(frame, names, compact)).select(*series_cols, DATETIME, *names)
-
-
-def _usable(frame: DataFrame, names: Sequence[str], compact: bool):
-    # The smaller feature set keeps rows with infinite values; NaN never occurs
-    # there once the hourly means are known.
-    kinds = dict(frame.dtypes)
-    checks = [
-        f"abs({name}) < double('Infinity')"
-        if kinds[name] == "double" and not compact
-        else f"{name} IS NOT NULL"
-        for name in names
-    ]
-    return F.expr(" AND ".join(checks))
+    return frame.filter(_usable(compact)).select(*series_cols, DATETIME, *names)
+
+
+# A row is complete if these are finite numbers; the other features then are too.
+# Lags are NULL only at the start of a series, where the longest one is. A value
+# in the last 24 rows shows in the longest rolling statistics, an older one only
+# in its own lags; voltage has no rolling statistics, so all its lags count.
+_DECIDING = [
+    TARGET,
+    VOLTAGE,
+    *[f"voltage_lag_{k}" for k in LAGS],
+    *[f"{name}_lag_{k}" for name in ("power", "current") for k in (24, 48)],
+    "power_roll_mean_24",
+    "power_roll_std_24",
+    *[f"current_roll_mean_{k}" for k in ROLL_WINDOWS],
+    *DIFF_FEATURES,
+    *PCT_FEATURES,
+    *INTERACTIONS,
+    *EWM_FEATURES,
+]
+_COMPACT_DECIDING = ["power_roll_mean_24", "current_roll_mean_24"]
+
+
+def _finite(names: Sequence[str]) -> str:
+    """True if all columns are finite: times zero, anything else is NaN or NULL.
+
+    One sum stays small enough for the JVM to compile; a comparison per column
+    does not, and made this filter as slow as the windows below it.
+    """
+    return f"({' + '.join(f'{name} * 0D' for name in names)}) = 0D"
+
+
+def _usable(compact: bool):
+    if not compact:
+        return F.expr(_finite(_DECIDING))
+    # The smaller feature set keeps infinite readings, but no rolling statistic
+    # of one: a full window counts finite values only.
+    return F.expr(
+        f"power_lag_48 IS NOT NULL AND {TARGET} IS NOT NULL AND NOT isnan({TARGET}) "
+        f"AND {_finite(_COMPACT_DECIDING)}"
+    )
 
 
 def build_daily_peak_frame(

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 from meterflow import build_daily_peak_frame, build_model_frame
 from meterflow.operators import features
 from meterflow.operators.chunks import LENGTH, POSITION, over_chunks, with_position
-from meterflow.schema import COMPACT_FEATURES, DATETIME, FEATURES, POWER, TARGET
+from meterflow.schema import (
+    COMPACT_FEATURES,
+    CURRENT,
+    DATETIME,
+    FEATURES,
+    POWER,
+    TARGET,
+    VOLTAGE,
+)
 
 from .fixtures import hourly_rows
 
@@ -53,6 +61,29 @@ def test_infinite_values_leave_the_frame(spark):
     assert column(found, "power_ewm_24") == pytest.approx([wanted[i] for i in sorted(left)])
 
 
+@pytest.mark.parametrize("spoiled", [POWER, VOLTAGE, CURRENT])
+def test_few_checks_decide_what_all_checks_would(spark, spoiled):
+    odd = {70: "Infinity", 71: "-Infinity", 150: "Infinity", 230: "0", 231: "0"}
+    cases = " ".join(f"WHEN n = {n} THEN double('{text}')" for n, text in odd.items())
+    table = hourly_rows(spark, [2.0 + i % 7 for i in range(320)])
+    table = table.withColumn("n", F.hour(DATETIME) + 24 * (F.dayofyear(DATETIME) - 1))
+    table = table.withColumn(spoiled, F.expr(f"CASE {cases} ELSE {spoiled} END")).drop("n")
+    every = features.feature_frame(table, (), 6, False, 100)
+    doubles = [name for name, kind in every.dtypes if kind == "double"]
+    full = every.filter(" AND ".join(f"abs({name}) < double('Infinity')" for name in doubles))
+    few = build_model_frame(table, chunk_rows=100)
+    assert column(few, DATETIME) == column(full, DATETIME)
+    assert 0 < few.count() < 271
+
+
+def test_compact_frame_keeps_infinite_lags_but_no_infinite_windows(spark):
+    powers = [2.0 + i % 7 for i in range(140)]
+    powers[60] = float("inf")
+    found = build_model_frame(hourly_rows(spark, powers), compact=True)
+    left = {(t.day - 1) * 24 + t.hour for t in column(found, DATETIME)}
+    assert left == set(range(48, 139)) - set(range(60, 84))
+
+
 def pandas_features(powers: list[float]) -> pd.DataFrame:
     p = pd.Series([float(x) for x in powers])
     ahead = pd.concat([p.shift(-k) for k in range(1, 7)], axis=1).mean(axis=1)
