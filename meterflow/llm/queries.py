@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, quality, secrets
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,8 +30,41 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"))
 
 
+def secret_digests(docs: DataFrame) -> DataFrame:
+    """Counts of the base kinds, a digest of their spans, and all spans."""
+    found = secrets.scan(docs)
+    base = [rule.kind for rule in secrets.RULES if rule.base]
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ","
+        )
+
+    def n_of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(n_of(kind) for kind in base),
+        F.sha2(listed(F.filter("spans", lambda s: s.kind.isin(base))), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(read(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"))
+
+
 def build() -> dict[str, Query]:
-    return {"op2_byte_bpe": op2_byte_bpe}
+    return {
+        "op2_byte_bpe": op2_byte_bpe,
+        "op8_secrets": op8_secrets,
+        "op9_quality": op9_quality,
+    }
 
 
 def oracle() -> dict[str, str]:
