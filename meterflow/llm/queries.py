@@ -8,13 +8,28 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secrets
+from . import bpe, langid, minhash, mixing, quality, secrets
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
+# How often the mix may repeat the smallest source.
+SOURCE_REPEATS = 2.0
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = langid.with_addresses(read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages"))
+    return langid.identify(docs, declared="_markup", suffix="_tld", host="_from")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), repeats=SOURCE_REPEATS)
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def token_digests(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """Token count and digests of ids and of the decoded bytes, per document."""
     coded = bpe.encode(docs, path, decoded=True)
@@ -61,6 +76,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Query]:
     return {
+        "op1_language_id": op1_language_id,
+        "op3_mixing": op3_mixing,
+        "op6_minhash": op6_minhash,
         "op2_byte_bpe": op2_byte_bpe,
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
