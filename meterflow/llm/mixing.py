@@ -1,11 +1,11 @@
 """Mixing sources to target weights, by DataFrame functions only.
 
-Source shares p become weights p**t / sum p**t. The exponent t is the largest in
-[0, 1] (closest to the natural shares) that meets a goal: an entropy of at least
-the given share of the greatest possible one, or no source repeated more often
-than a limit while no document is left out. Bisection finds it; a job looks at
-several levels of halves at once and returns a few sums, so any number of
-sources works.
+Source shares p become weights p**t / sum p**t. The exponent t in [0, 1] meets a
+goal: the largest t (closest to the natural shares) whose weights have the given
+share of the greatest possible entropy, or the smallest t (most level) at which
+no source is repeated more often than a limit while no document is left out.
+Bisection finds it; a job looks at several levels of halves at once and returns
+a few sums, so any number of sources works.
 
 Weights and a token budget give each source a quota. It is realised as whole
 passes over the source (epochs) and a last partial one. Every pass is a block
@@ -49,39 +49,34 @@ def source_table(tokens: DataFrame) -> DataFrame:
 
 
 def find_exponent(sources: DataFrame, entropy: float | None = None, repeats: float | None = None) -> float:
-    """The largest exponent in [0, 1] that meets the goal, 0 if none does."""
+    """The exponent in [0, 1]: the largest that reaches the entropy (0 if none does), or the smallest,
+    which levels the sources most, that keeps to the repetition limit (1 always does)."""
     if (entropy is None) == (repeats is None):
         raise ValueError("give either an entropy or a repetition limit")
     logs = sources.filter("_tokens > 0").select(F.log("_tokens").alias("_log"))
-    top = logs.agg(F.max("_log").alias("top"), F.min("_log").alias("least"), F.count(F.lit(1)).alias("n")).first()
-    if not top.n:
+    ends = logs.agg(F.max("_log").alias("top"), F.min("_log").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    if not ends.n:
         return 1.0
+    shifted = F.col("_log") - ends.top
 
-    def meets(sums: dict, t: float, k: int) -> bool:
-        if repeats is not None:  # the smallest source repeats most: (p_max / p_min) ** (1 - t) passes
-            return math.exp((1 - t) * (top.top - top.least)) <= repeats * (1 + 1e-12)
-        reached = math.log(sums[f"z{k}"]) - t * sums[f"m{k}"] / sums[f"z{k}"]
-        return reached >= entropy * math.log(top.n) - 1e-12
+    def meet(points: list[float]) -> list[bool]:
+        if repeats is not None:  # the smallest source is repeated (p_max / p_min) ** (1 - t) times
+            return [math.exp(x * (ends.top - ends.least)) <= repeats * (1 + 1e-12) for x in points]
+        weights = [F.exp(F.lit(t) * shifted) for t in points]
+        sums = logs.agg(*(F.sum(w) for w in weights), *(F.sum(w * shifted) for w in weights)).first()
+        pairs = zip(points, sums[: len(points)], sums[len(points) :], strict=True)
+        return [math.log(z) - t * m / z >= entropy * math.log(ends.n) - 1e-12 for t, z, m in pairs]
 
+    # The largest x that meets the goal, where x is the exponent or, for repeats, what it lacks to 1.
     low, high = 0.0, 1.0
-    shifted = F.col("_log") - top.top
-    for level in range(ROUNDS):
-        grid = [low + (high - low) * (k + 1) / 2**LEVELS for k in range(2**LEVELS - 1)]
-        grid = [1.0, *grid] if level == 0 else grid
-        weights = [F.exp(F.lit(t) * shifted) for t in grid]
-        row = logs.agg(
-            *(F.sum(w).alias(f"z{k}") for k, w in enumerate(weights)),
-            *(F.sum(w * shifted).alias(f"m{k}") for k, w in enumerate(weights)),
-        ).first() if repeats is None else None
-        sums = row.asDict() if row else {}
-        good = {t: meets(sums, t, k) for k, t in enumerate(grid)}
-        if level == 0:
-            if good.pop(1.0):
-                return 1.0
-        points = [low, *sorted(good), high]
-        last = max(i for i, t in enumerate(points[:-1]) if i == 0 or good[t])
-        low, high = points[last], points[last + 1]
-    return low
+    if meet([1.0])[0]:
+        low = 1.0
+    else:
+        for _ in range(ROUNDS):
+            points = [low + (high - low) * k / 2**LEVELS for k in range(1, 2**LEVELS)]
+            last = sum(meet(points))  # points that meet the goal come first
+            low, high = [low, *points, high][last : last + 2]
+    return 1 - low if repeats is not None else low
 
 
 def quotas(sources: DataFrame, exponent: float, budget: int | None = None) -> DataFrame:

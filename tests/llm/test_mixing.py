@@ -34,6 +34,10 @@ def plain_exponent(meets) -> float:
     return low
 
 
+def least_exponent(repeats: float) -> float:
+    return 1 - plain_exponent(lambda x: (9000 / 45) ** x <= repeats)
+
+
 def entropy_of(t: float) -> float:
     weights = [n**t for n in TOKENS.values()]
     return -sum(w / sum(weights) * math.log(w / sum(weights)) for w in weights)
@@ -46,7 +50,7 @@ def test_exponent(spark, goal):
     if "entropy" in goal:
         expected = plain_exponent(lambda t: entropy_of(t) >= goal["entropy"] * math.log(4))
     else:
-        expected = plain_exponent(lambda t: (9000 / 45) ** (1 - t) <= goal["repeats"])
+        expected = least_exponent(goal["repeats"])
     assert mixing.find_exponent(sources, **goal) == pytest.approx(expected, abs=1e-6)
 
 
@@ -56,7 +60,7 @@ def test_every_document_stays_and_quotas_are_met(spark, monkeypatch):
     rows = mixing.mix(docs, repeats=3.0).collect()
     times = Counter(r.doc_id for r in rows)
     assert set(times) == {r.doc_id for r in docs.collect()}
-    t = plain_exponent(lambda t: (9000 / 45) ** (1 - t) <= 3)
+    t = least_exponent(3)
     most = max(n / n**t for n in TOKENS.values())
     used = Counter()
     for r in rows:
