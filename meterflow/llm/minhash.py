@@ -10,11 +10,13 @@ At similarity 0.85 a pair shares none of 24 bands of 5 with a chance of 8e-7;
 the estimate's error is 0.035, so the margin of 0.2 loses a pair with 1e-8.
 
 Texts of equal sets are one class, found by grouping; only its smallest
-document goes on. In a band, members are first compared with the smallest
-member, then with the greatest. Where a band still holds several components,
-its members are compared in blocks, and pairs of different components that may
-reach the threshold are confirmed too. So groups of copies of any size cost a
-pair per member and band, and no link between different texts is lost.
+document goes on. In a band every member is compared with one centre, the
+member that meets most others in all bands. Where members remain outside the
+centre's component, they are compared with the band's members in blocks, each
+pair in the first band it shares, and a block returns the links that join
+components. So a group of copies costs a pair per member, a family that its
+centre does not hold together costs its outsiders times its size in bit counts,
+and no link that joins different texts is lost.
 
 Null and empty texts, and texts without words, have the empty set and link with
 nothing. Rows without a key are kept and link with nothing. Repeated rows of
@@ -161,58 +163,121 @@ def estimate(a: Column, b: Column) -> Column:
     return (1 - differing / MINIMA - chance) / (1 - chance)
 
 
-def _similar_in_block(threshold: float):
-    """Pairs of one group of a band's members that may reach the threshold, of different components."""
+def _jaccard_reached(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _links_in_block(percent: int):
+    """Links that join components among one block of a band: its left rows against its right rows.
+
+    Pairs of the same component, pairs that an earlier band has too, and pairs whose estimate is too
+    low are passed over; the rest are compared on full sets, the likeliest first, until a link joins
+    their components. So a block gives fewer links than it has components.
+    """
+    most = int(MINIMA * (1 - (1 / 16 + (percent / 100 - MARGIN) * 15 / 16)) + 1e-9)
+    ones = np.uint64(sum(1 << (LOW_BITS * k) for k in range(PER_LONG)))
 
     def run(table: pa.Table) -> pa.Table:
         n = table.num_rows
-        signature = table.column("signature").combine_chunks().values.to_numpy().reshape(n, LONGS).view(np.uint64)
+        signature = _matrix(table, "signature", LONGS).view(np.uint64)
+        bands = _matrix(table, "bands", BANDS)
+        here = table.column("band")[0].as_py()
         ids = table.column("id").to_numpy()
-        component = table.column("component").to_numpy()
-        side = table.column("side").to_numpy()
-        ones = np.uint64(sum(1 << (LOW_BITS * k) for k in range(PER_LONG)))
-        most = int(MINIMA * (1 - (1 / 16 + threshold * 15 / 16)) + 1e-9)
-        left = np.flatnonzero(side <= 1)  # 0: both sides (one chunk with itself), 1: left, 2: right
-        right = np.flatnonzero(side != 1)
-        a, b = [], []
-        for i in left:
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        names, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        component = component.ravel()
+        right = np.flatnonzero(~left)
+        a, b, off = [], [], []
+        for i in np.flatnonzero(left):
             others = right[component[right] != component[i]]
             x = signature[others] ^ signature[i]
             x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))) & ones
-            near = others[np.bitwise_count(x).sum(axis=1) <= most]
-            a.append(np.full(len(near), ids[i]))
-            b.append(ids[near])
-        a, b = (np.concatenate([*x, np.zeros(0, dtype=np.int64)]) for x in (a, b))
-        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
+            differing = np.bitwise_count(x).sum(axis=1)
+            near = differing <= most
+            near[near] = bands[i][(bands[others[near]] == bands[i]).argmax(axis=1)] == here
+            a.append(np.full(near.sum(), i))
+            b.append(others[near])
+            off.append(differing[near])
+        links: list[tuple[int, int]] = []
+        if a and len(first := np.concatenate(a)):
+            second = np.concatenate(b)
+            order = np.argsort(np.concatenate(off), kind="stable")
+            asked = np.unique(np.concatenate([first, second]))
+            texts = as_bytes(table.column("_text").take(pa.array(asked)).combine_chunks())
+            hashes, sizes = shingle_sets(texts)
+            ends = dict(zip(asked.tolist(), np.cumsum(sizes).tolist(), strict=True))
+            size = dict(zip(asked.tolist(), sizes.tolist(), strict=True))
+            parent = list(range(len(names)))
+
+            def root(k: int) -> int:
+                while parent[k] != k:
+                    parent[k] = k = parent[parent[k]]
+                return k
+
+            for i, j in zip(first[order].tolist(), second[order].tolist(), strict=True):
+                x, y = root(component[i]), root(component[j])
+                if x != y and _jaccard_reached(
+                    hashes[ends[i] - size[i] : ends[i]], hashes[ends[j] - size[j] : ends[j]], percent
+                ):
+                    parent[x] = y
+                    links.append((int(ids[i]), int(ids[j])))
+        return pa.table({
+            "a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64()),
+        })
 
     return run
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int, folder: str, step: str) -> DataFrame:
-    """The pairs whose full sets reach the threshold: 100 * common >= percent * union."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stage(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), folder, f"texts{step}")
+def _matrix(table: pa.Table, column: str, width: int) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().reshape(table.num_rows, width)
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets reach the threshold: 100 * common >= percent * union."""
     first = texts.select(F.col("id").alias("a"), F.col("_text").alias("_first"))
     second = texts.select(F.col("id").alias("b"), F.col("_text").alias("_second"))
-    both = pairs.join(second, "b").join(first, "a")  # rows of one a come together
+    both = pairs.hint("merge").join(second, "b").hint("merge").join(first, "a")  # rows of one a come together
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
-        for batch in batches:
-            for part in blocks([batch], "_second", 1 << 20):
-                a, b = part.column("a").to_numpy(), part.column("b").to_numpy()
-                hashes, sizes = shingle_sets(as_bytes(part.column("_second")))
-                ends = np.cumsum(sizes)
-                good = np.zeros(len(a), dtype=bool)
-                for k in range(len(a)):
-                    if a[k] != last:
-                        last, held = a[k], shingle_sets([part.column("_first")[k].as_py().encode()])[0]
-                    own = hashes[ends[k] - sizes[k] : ends[k]]
-                    common = len(np.intersect1d(own, held, assume_unique=True))
-                    good[k] = 100 * common >= percent * (len(own) + len(held) - common)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a[good]), "b": pa.array(b[good])})
-
-    return stage(both.mapInArrow(run, "a long, b long"), folder, f"links{step}")
+        for part in blocks(batches, "_second", 1 << 20):
+            a, b = part.column("a").to_numpy(), part.column("b").to_numpy()
+            hashes, sizes = shingle_sets(as_bytes(part.column("_second")))
+            ends = np.cumsum(sizes)
+            good = np.zeros(len(a), dtype=bool)
+            for k in range(len(a)):
+                if a[k] != last:
+                    last, held = a[k], shingle_sets([part.column("_first")[k].as_py().encode()])[0]
+                good[k] = _jaccard_reached(hashes[ends[k] - sizes[k] : ends[k]], held, percent)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a[good]), "b": pa.array(b[good])})
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def _rest_of_bands(spots: DataFrame, components: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between components that still meet in a band.
+
+    In every such band the members outside its centre's component (left) are compared with all
+    members (right), in blocks of chunks. What the star has settled costs no pair any more.
+    """
+    known = spots.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    main = components.select(F.col("id").alias("center"), F.col("component").alias("_main"))
+    known = known.join(main, "center", "left").withColumn("_out", F.col("component") != F.coalesce("_main", "center"))
+    sizes = known.groupBy("band").agg(F.count(F.lit(1)).alias("_size"), F.sum(F.col("_out").cast("long")).alias("_n_out"))
+    still = sizes.filter("_n_out > 0 AND _size > 2").select(
+        "band", F.ceil(F.col("_n_out") / CHUNK).cast("int").alias("_lefts"), F.ceil(F.col("_size") / CHUNK).cast("int").alias("_rights")
+    )
+    rows = known.select("id", "band", "component", "_out").join(still, "band")
+    number = F.xxhash64("id", F.lit(7))
+    own_left = F.pmod(number, F.col("_lefts")).cast("int")
+    own_right = F.pmod(number, F.col("_rights")).cast("int")
+    every_left, every_right = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("_lefts", "_rights"))
+    as_right = rows.select("*", F.lit(False).alias("left"), F.explode(every_left).alias("i"), own_right.alias("j"))
+    as_left = rows.filter("_out").select("*", F.lit(True).alias("left"), own_left.alias("i"), F.explode(every_right).alias("j"))
+    dealt = as_right.union(as_left).select("id", "band", "component", "left", "i", "j")
+    full = dealt.hint("merge").join(texts, "id").join(reps, "id")
+    return full.groupBy("band", "i", "j").applyInArrow(_links_in_block(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
@@ -229,42 +294,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         ),
         folder, "members",
     )
-    reps = members.filter("rep = id AND n_shingles > 0").select("id").distinct()
-    reps = stage(marks.join(reps, "id", "left_semi").select("id", "bands", "signature").dropDuplicates(["id"]), folder, "reps")
-    threshold = percent / 100 - MARGIN
-    signed = reps.select("id", "signature")
+    only = members.filter("rep = id AND n_shingles > 0").select("id").distinct()
+    reps = stage(marks.join(only, "id", "left_semi").select("id", "bands", "signature").dropDuplicates(["id"]), folder, "reps")
+
+    # The centre of a band is the member that meets most others in all its bands.
     spots = reps.select("id", F.explode("bands").alias("band"))
-    ends = spots.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    spots = stage(spots.join(ends, "band"), folder, "spots")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        a = signed.select(F.col("id").alias("a"), F.col("signature").alias("_a"))
-        b = signed.select(F.col("id").alias("b"), F.col("signature").alias("_b"))
-        near = pairs.join(b, "b").join(a, "a").filter(estimate(F.col("_a"), F.col("_b")) >= threshold)
-        return near.select("a", "b")
-
-    stars = spots.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("high").alias("a"), F.col("id").alias("b")))).alias("p")).select("p.*")
-    tried = stage(likely(stars.filter("a <> b").distinct()), folder, "tried0")
-    links = confirm(tried, plain, percent, folder, "0")
-    found = connected_components(links, f"{folder}/components0")
-    components = spots.select("id", "band").join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "band", F.coalesce("component", "id").alias("component")
+    crowds = stage(spots.groupBy("band").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1"), folder, "crowds")
+    shared = stage(spots.join(crowds, "band"), folder, "shared")
+    fame = shared.groupBy("id").agg(F.sum("_size").alias("_fame"))
+    centers = shared.select("id", "band").join(fame, "id").groupBy("band").agg(
+        F.max_by("id", F.struct("_fame", -F.col("id"))).alias("center")
     )
-    open_bands = components.groupBy("band").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_size")
-    ).filter("_low < _high AND _size > 2").select("band", F.ceil(F.col("_size") / CHUNK).cast("int").alias("_chunks"))
-    rest = components.join(open_bands, "band").join(signed, "id")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("_chunks")).cast("int")
-    # Each chunk of a band meets itself and each other chunk once.
-    dealt = rest.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-    dealt = dealt.select(
-        "id", "component", "signature", "band", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
-        F.when(F.col("_own") == F.col("_other"), 0).when(F.col("_own") < F.col("_other"), 1).otherwise(2).alias("side"),
+    spots = stage(shared.select("id", "band").join(centers, "band"), folder, "spots")
+    texts = stage(
+        plain.join(spots.select("id").distinct().hint("merge"), "id", "left_semi").dropDuplicates(["id"]), folder, "texts"
     )
-    more = dealt.groupBy("band", "i", "j").applyInArrow(_similar_in_block(threshold), "a long, b long").distinct()
-    more = stage(more.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), folder, "tried1")
-    links = links.union(confirm(more, plain, percent, folder, "1"))
-    found = connected_components(links, f"{folder}/components1").withColumnRenamed("node", "rep")
+    pairs = spots.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
+    signed = reps.select("id", "signature")
+    near = pairs.join(signed.select(F.col("id").alias("b"), F.col("signature").alias("_b")), "b").join(
+        signed.select(F.col("id").alias("a"), F.col("signature").alias("_a")), "a"
+    ).filter(estimate(F.col("_a"), F.col("_b")) >= percent / 100 - MARGIN)
+    links = stage(confirm(near.select("a", "b"), texts, percent), folder, "links0")
+    found = connected_components(links, f"{folder}/components0").withColumnRenamed("node", "id")
+    more = stage(_rest_of_bands(spots, found, reps, texts, percent), folder, "links1")
+    found = connected_components(links.union(more), f"{folder}/components1").withColumnRenamed("node", "rep")
     done = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     return done.select(
         F.col("id").alias(key), "n_shingles", F.col("component").alias("component_id"),
