@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, quality, secrets
+from . import bpe, langid, minhash, mixing, pii, quality, secrets, urls
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,27 +45,37 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"))
 
 
-def secret_digests(docs: DataFrame) -> DataFrame:
-    """Counts of the base kinds, a digest of their spans, and all spans."""
-    found = secrets.scan(docs)
-    base = [rule.kind for rule in secrets.RULES if rule.base]
+def listed(spans: Column) -> Column:
+    """``kind:start:stop`` of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
+
 
-    def listed(spans: Column) -> Column:
-        return F.array_join(
-            F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ","
-        )
+def digests(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """Counts of the base kinds, a digest of their spans, and all spans."""
 
     def n_of(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
         "doc_id",
-        *(n_of(kind) for kind in base),
-        F.sha2(listed(F.filter("spans", lambda s: s.kind.isin(base))), 256).alias("base_sha256"),
+        *(n_of(kind) for kind in kinds),
+        F.sha2(listed(F.filter("spans", lambda s: s.kind.isin(kinds))), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pii.find(read(spark, sf_dir, "documents")), list(pii.KINDS))
+
+
+def secret_digests(docs: DataFrame) -> DataFrame:
+    return digests(secrets.scan(docs), [rule.kind for rule in secrets.RULES if rule.base])
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(read(spark, sf_dir, "documents"))
 
@@ -78,7 +88,9 @@ def build() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op3_mixing": op3_mixing,
+        "op5_urls": op5_urls,
         "op6_minhash": op6_minhash,
+        "op7_pii": op7_pii,
         "op2_byte_bpe": op2_byte_bpe,
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
