@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.llm import langid, minhash, mixing, secrets
-from meterflow.llm.common import read
+from meterflow.llm.common import importable, read
 from meterflow.llm.queries import SOURCE_REPEATS, token_digests
 from meterflow.session import stage, stage_folder
 
@@ -22,6 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognisable language; ``lang`` becomes the one found."""
+    importable(spark)
     found = langid.identify(docs).filter("kept").select(F.col("doc_id").alias("_id"), "lang_id")
     found = found.dropDuplicates(["_id"])
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]))
@@ -30,11 +31,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
+    importable(spark)
     return minhash.keep_one(docs).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts."""
+    importable(spark)
     clean = secrets.redact(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
@@ -47,6 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of the decoded bytes."""
+    importable(spark)
     return token_digests(docs)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, pii, quality, secrets, urls
+from . import bpe, langid, minhash, mixing, pii, quality, secrets, toxicity, urls
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def digests(found: DataFrame, kinds: list[str]) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
@@ -88,6 +92,7 @@ def build() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op3_mixing": op3_mixing,
+        "op4_toxicity": op4_toxicity,
         "op5_urls": op5_urls,
         "op6_minhash": op6_minhash,
         "op7_pii": op7_pii,
