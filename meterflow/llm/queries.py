@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, mixing, pii, quality, secrets, toxicity, urls
+from . import ann, bpe, langid, minhash, mixing, pii, quality, secrets, toxicity, urls
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def build() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -99,6 +103,7 @@ def build() -> dict[str, Query]:
         "op2_byte_bpe": op2_byte_bpe,
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
+        "op10_neighbours": op10_neighbours,
     }
 
 

@@ -11,7 +11,8 @@ Its states are made when first needed and then looked up.
 A misspelling counts less than the term, and nothing if labelled clean texts
 hold it. Around each hit the words of a window, and quotation marks that enclose
 it, add what they tell by their own log-odds: that separates quoting from abuse.
-The score is the logistic of the base rate and the hits' evidence.
+The score is the logistic of the prior and the hits' evidence, or the rate of
+toxic labels among texts without hits.
 
 The lexicon is fitted on at most about ``TRAIN_DOCS`` labelled documents, chosen
 by a hash of the key, and holds at most ``MOST_TERMS`` terms. Every document is
@@ -44,7 +45,9 @@ MOST_CANDIDATES = 100_000
 STEMS = range(4, 8)
 LEAST_CONTEXTS = 3
 CONTEXTS_KEPT = 8
+LEAST_SHARE = 0.01  # of the toxic texts must hold a term
 LEAST_WEIGHT = 2.5
+FUZZY_WEIGHT = 4.0  # weaker terms must be spelled exactly
 FUZZY_LETTERS = 5  # shorter terms must be spelled exactly
 FUZZY_SHARE = 0.75  # of a term's weight that a misspelling keeps
 WINDOW = 3
@@ -124,7 +127,7 @@ class FuzzyTrie:
                 found.append((self.stems[abs(node)], 0))
             if node in self.ends:
                 term = self.ends[node]
-                if not edits or len(term) >= FUZZY_LETTERS:
+                if not edits or (len(term) >= FUZZY_LETTERS and self.terms[term] >= FUZZY_WEIGHT):
                     found.append((term, edits))
         return min(found, key=lambda f: (f[1], -self.terms[f[0]], f[0])) if found else None
 
@@ -160,7 +163,8 @@ class Model:
     terms: dict[str, float] = field(default_factory=dict)
     innocent: set[str] = field(default_factory=set)  # misspellings that clean texts hold
     context: dict[str, float] = field(default_factory=dict)
-    base: float = math.log(0.05 / 0.95)
+    base: float = math.log(0.05 / 0.95)  # log-odds without any hit
+    prior: float = 0.0  # log-odds of all labelled texts, to which hits add
 
     def trie(self) -> FuzzyTrie:
         if not hasattr(self, "_trie"):
@@ -184,7 +188,7 @@ class Model:
             around = sum(self.context.get(w, 0.0) for w in window(words, at))
             weight += max(-CONTEXT_LIMIT, min(CONTEXT_LIMIT, around))
             best[term] = max(best.get(term, 0.0), weight)
-        logit = self.base + sum(best.values())
+        logit = self.prior + sum(best.values()) if best else self.base
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
@@ -289,9 +293,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not clean or not toxic:
         return model
     counts = {row.term: (row.n0, row.n1) for row in _term_counts(train, set(_candidates(train))).collect()}
-    weights = {t: _log_odds(n1, toxic, n0, clean) for t, (n0, n1) in counts.items()}
+    # The lower end of the 90 % interval: a weight that few documents speak for is small.
+    weights = {
+        t: _log_odds(n1, toxic, n0, clean) - 1.645 * math.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5)) for t, (n0, n1) in counts.items()
+    }
     ranked = sorted((t for t, w in weights.items() if w >= LEAST_WEIGHT), key=lambda t: (-weights[t], t))
-    good = {t for t in ranked if counts[t][1] >= 9 * counts[t][0]}  # most documents with the term are toxic
+    # Most documents with the term are toxic, and it is no rare word.
+    good = {t for t in ranked if counts[t][1] >= max(9 * counts[t][0], LEAST_CONTEXTS, LEAST_SHARE * toxic)}
     stems = {t[:-1] for t in good if t.endswith("*")}
     short = {s for s in stems if not any(s[:n] in stems for n in STEMS if n < len(s))}
     for term in ranked:
@@ -312,6 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             # Beside a term most texts are toxic; a word that makes it likelier clean counts against.
             odds = math.log((row.n1 + CONTEXT_SMOOTHING) / (row.n0 + CONTEXT_SMOOTHING))
             model.context[row.word] = min(0.0, odds)
+    model.prior = math.log(toxic / clean)
     model.base = _base_rate(train, model, clean, toxic)
     return model
 
