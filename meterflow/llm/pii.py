@@ -112,7 +112,10 @@ def revealing_terms(found: DataFrame, docs: DataFrame, folder: str) -> DataFrame
     beside = mentions.select("_key", "entity", "context", F.explode(F.array_distinct("near")).alias("term"))
     contexts = beside.select("term", "entity", "context").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_contexts"))
     together = beside.select("term", "entity", "_key").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_both"))
-    pairs = contexts.filter(F.col("n_contexts") >= LEAST_CONTEXTS).join(together, ["term", "entity"]).join(entities, "entity")
+    # A term stands in at least as many documents as it stands near any entity in, so no pair is lost here.
+    anywhere = beside.select("term", "_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    pairs = contexts.filter(F.col("n_contexts") >= LEAST_CONTEXTS).join(together, ["term", "entity"]).join(anywhere, "term")
+    pairs = pairs.filter(F.col("n_both") >= LEAST_SHARE * F.col("n_near")).drop("n_near").join(entities, "entity")
     pairs = stage(pairs, folder, "pairs")
     words = docs.select("_key", F.explode(F.array_distinct(F.split(F.lower("_text"), "[^\\p{L}]+"))).alias("term"))
     holders = stage(words.join(pairs.select("term").distinct(), "term"), folder, "holders")
