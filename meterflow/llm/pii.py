@@ -37,6 +37,8 @@ LEAST_LETTERS = 4
 LEAST_CONTEXTS = 3
 LEAST_SHARE = 0.8
 LEAST_BITS = 6.0
+GROUP = 128  # matches whose places are added up together
+NONE = "array<struct<kind:string,start:int,stop:int,value:string>>"
 
 
 def _passes(kind: str, value: Column) -> Column:
@@ -59,19 +61,36 @@ def _passes(kind: str, value: Column) -> Column:
 
 
 def spans_of(text: Column, pattern: Column, kind: str) -> Column:
-    """Matches as ``struct<kind, start, stop, value>``: positions are lengths of the parts between them."""
+    """Matches as ``struct<kind, start, stop, value>``: positions are running lengths of the parts between them.
+
+    Parts are added up in groups, and the groups' totals after that, as appending to a long array copies it.
+    """
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    ends = F.transform(
-        found, lambda v, i: F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda s, g: s + F.length(g))
-        + F.aggregate(F.slice(found, 1, i + 1), F.lit(0), lambda s, w: s + F.length(w))
-    )
-    return F.zip_with(
-        found, ends,
-        lambda v, e: F.struct(F.lit(kind).alias("kind"), (e - F.length(v)).alias("start"), e.alias("stop"), v.alias("value")),
-    )
+    parts = F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
+    parts = F.filter(parts, lambda p: p.value.isNotNull())  # no match follows the last gap
 
+    def span(start: Column, stop: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), value.alias("value"))
 
-NONE = "array<struct<kind:string,start:int,stop:int,value:string>>"
+    def add_part(done: Column, part: Column) -> Column:
+        start = done.at + part.gap
+        stop = start + F.length(part.value)
+        return F.struct(stop.alias("at"), F.concat(done.spans, F.array(span(start, stop, part.value))).alias("spans"))
+
+    def add_group(done: Column, group: Column) -> Column:
+        moved = F.transform(group.spans, lambda s: span(s.start + done.at, s.stop + done.at, s.value))
+        return F.struct((done.at + group.at).alias("at"), F.concat(done.spans, F.array(moved)).alias("spans"))
+
+    def placed(parts: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / GROUP).cast("int"))
+        numbers = F.when(F.size(parts) > 0, numbers).otherwise(F.array().cast("array<int>"))
+        groups = F.transform(numbers, lambda g: F.aggregate(F.slice(parts, g * GROUP + 1, GROUP), nothing(NONE), add_part))
+        return F.aggregate(groups, nothing(f"array<{NONE}>"), add_group, lambda done: F.flatten(done.spans))
+
+    def nothing(spans: str) -> Column:
+        return F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
+
+    return F.transform(F.array(parts), placed)[0]  # a bound variable is computed once, not per element
 
 
 def base_spans(text: Column) -> Column:

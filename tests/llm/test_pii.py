@@ -41,6 +41,7 @@ def test_patterns(spark):
     parts = ["a@b.co", "x", "_", "@", ".", "12", "255", "1.2.3.4", "300", " ", "-", "+", "4406265717522065", "(", ")", "é", "\n", "4", "+1 (459) 555-7415", "00001", "😀"]
     rows = [(i, "".join(rng.choices(parts, k=rng.randrange(1, 14)))) for i in range(4000)]
     rows += [(5000, "1" * 50_000), (5001, "a" * 50_000), (5002, "1 " * 30_000), (5003, "+" + "1" * 50_000), (5004, "1." * 30_000), (5005, "a@b.cc_x@y.z")]
+    rows += [(5100 + n, "é mail p7@x7.org or 10.0.2.9 " * n) for n in (127, 128, 129, 256, 5000)]
     got = {r.doc_id: r.spans for r in digests(pii.find(spark.createDataFrame(rows, SCHEMA)), list(pii.KINDS)).collect()}
     for key, text in rows:
         assert ",".join(s for s in got[key].split(",") if not s.startswith("term")) == plain(text), repr(text[:200])
