@@ -21,7 +21,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language; ``lang`` becomes the one found."""
+    """Drops documents without a recognisable language; ``lang`` becomes the one found.
+
+    Rows of one key, and rows without any, stay or go together: they stay if one of them is kept.
+    """
     importable(spark)
     found = langid.identify(docs).filter("kept").select(F.col("doc_id").alias("_id"), "lang_id")
     found = found.dropDuplicates(["_id"])
