@@ -2,8 +2,8 @@
 
 Addresses that a rule allows or blocks teach two Markov models over characters,
 of variable order: contexts of up to three characters, each smoothed towards the
-next shorter one, kept while it is frequent enough (``MOST_GRAMS`` per order
-bounds the model whatever the table's size). An address is judged by the log
+next shorter one. An n-gram seen ``LEAST_SEEN`` times is kept, whatever the table's
+size, so the model grows with the labelled addresses. An address is judged by the log
 ratio of the two likelihoods per character against a threshold calibrated on
 labelled addresses the models have not seen.
 
@@ -29,6 +29,8 @@ from pyspark.sql.window import Window
 
 from meterflow.session import stage, stage_folder
 
+from .common import salted_join
+
 ALLOW, BLOCK = "allow", "block"
 RULES = (
     ("com/", ALLOW),
@@ -38,7 +40,7 @@ RULES = (
     ("net/fr/", BLOCK),
 )
 ORDER = 3
-MOST_GRAMS = 20_000
+LEAST_SEEN = 2
 SMOOTHING = 4.0
 ALPHABET = 42
 BEGIN, END = "\x02", "\x03"
@@ -87,20 +89,18 @@ def _grams(table: DataFrame, *keep: str) -> DataFrame:
         )
     )
     padding = F.when(F.col("first"), F.array(*(F.lit(BEGIN * k) for k in range(1, ORDER + 1)))).otherwise(F.array().cast("array<string>"))
-    return pieces.select(*keep, "_length", F.explode(F.concat(places, padding)).alias("gram"))
+    return pieces.select(*keep, "_length", F.posexplode(F.concat(places, padding)).alias("_place", "gram"))
 
 
 def fit(labelled: DataFrame) -> DataFrame:
-    """``gram, term`` from ``host, path, accepted, copies``; at most 4 * (MOST_GRAMS + 1) rows."""
+    """``gram, term`` from ``host, path, accepted, copies``, for every n-gram kept and every context of one."""
     folder = stage_folder(labelled.sparkSession)
     counts = _grams(labelled, "accepted", "copies").groupBy("gram").agg(
         F.sum(F.when(F.col("accepted"), F.col("copies")).otherwise(0)).alias("a"),
         F.sum(F.when(~F.col("accepted"), F.col("copies")).otherwise(0)).alias("r"),
     ).filter(~F.col("gram").rlike(f"^{BEGIN}+$"))
     counts = stage(counts.withColumn("k", F.length("gram") - 1), folder, "counts")
-    # Counts of one order sum to the symbols read, so at most MOST_GRAMS of them reach this share.
-    least = counts.groupBy("k").agg(F.greatest(F.lit(2.0), F.sum(F.col("a") + F.col("r")) / MOST_GRAMS).alias("least"))
-    kept = stage(counts.join(F.broadcast(least), "k").filter("a + r >= least").drop("least"), folder, "kept")
+    kept = stage(counts.filter(F.col("a") + F.col("r") >= LEAST_SEEN), folder, "kept")
     contexts = counts.groupBy("k", F.expr("left(gram, k)").alias("context")).agg(F.sum("a").alias("ca"), F.sum("r").alias("cr"))
     contexts = stage(contexts.join(kept.select(F.expr("left(gram, k)").alias("context"), "k").distinct(), ["k", "context"]), folder, "contexts")
     back = F.log((F.col("cr") + SMOOTHING) / (F.col("ca") + SMOOTHING))
@@ -131,8 +131,13 @@ def fit(labelled: DataFrame) -> DataFrame:
 
 def score(table: DataFrame, terms: DataFrame, *keep: str) -> DataFrame:
     """``keep, score``: the log ratio per symbol; ``keep`` must tell rows apart."""
-    matched = _grams(table, *keep).join(F.broadcast(terms), "gram", "left")  # fit() bounds its rows
-    return matched.groupBy(*keep).agg((F.sum(F.coalesce("term", F.lit(0.0))) / F.max("_length")).alias("score"))
+    folder = stage_folder(table.sparkSession)
+    # Only a number, which is fixed by writing it, goes through the join of the n-grams.
+    numbered = stage(table.select(*dict.fromkeys((*keep, "host", "path"))).withColumn("_id", F.monotonically_increasing_id()), folder, "numbered")
+    spread = F.xxhash64("_id", "_place")  # an n-gram may be in every address, and often in one
+    matched = salted_join(_grams(numbered, "_id"), terms, ["gram"], spread).filter("term IS NOT NULL")
+    sums = matched.groupBy("_id").agg((F.sum("term") / F.max("_length")).alias("score"))
+    return numbered.join(sums, "_id", "left").select(*keep, F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def threshold(scored: DataFrame, kind: str = "accepted") -> DataFrame:
@@ -169,7 +174,6 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES)
     terms = fit(labelled.filter("NOT held"))
     if kinds.some is None or kinds.some == kinds.all:
         terms = terms.limit(0)
-    # A row's columns are its key here, so all n-grams of an address meet where they were made.
     kept = ["_key", "_url", "copies", "host", "path", "rule", "_says"]
     scored = stage(score(ruled, terms, *kept), folder, "scored")
     held = scored.filter("_says IS NOT NULL").withColumn("accepted", F.col("_says") == ALLOW).filter(

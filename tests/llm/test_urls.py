@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterflow.llm import urls
 
@@ -85,3 +86,12 @@ def test_ratio_equals_the_models(spark):
             math.log(probability(text[at - 3 : at + 1], True) / probability(text[at - 3 : at + 1], False)) for at in range(3, len(text))
         )
         assert row.score == pytest.approx(ratio / (len(text) - 3), abs=1e-9)
+
+
+def test_a_large_table_keeps_rare_grams(spark):
+    rows = [("a.com", "/page", True, 1_000_000), ("b.net", "/es/x", False, 1_000_000), ("c.com", "/qzj", True, 2), ("d.com", "/w", True, 1)]
+    table = spark.createDataFrame(rows, "host string, path string, accepted boolean, copies long")
+    grams = {r.gram for r in urls.fit(table).collect()}
+    assert {"qzj", "/qzj", f"qzj{urls.END}"} <= grams and "m/w" not in grams
+    parts = urls.score(table.withColumn("_key", F.col("path")), urls.fit(table), "_key").collect()
+    assert {r["_key"]: r.score > 0 for r in parts} == {"/page": True, "/es/x": False, "/qzj": True, "/w": True}
