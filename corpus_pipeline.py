@@ -17,6 +17,7 @@ from meterflow.llm.queries import SOURCE_REPEATS, token_digests
 from meterflow.session import stage, stage_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_PERCENT = 80  # the similarity of word shingles from which documents are near duplicates
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
     importable(spark)
-    return minhash.keep_one(docs).select(*COLUMNS)
+    return minhash.keep_one(docs, percent=NEAR_PERCENT).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,3 +63,11 @@ def test_stages_keep_the_columns_of_documents(spark):
     assert [name for name, _ in pipeline.STAGES] == ["language_id", "minhash_near_dedup", "secret_scan", "mix_sources", "byte_bpe"]
     for _, function in pipeline.STAGES[:-1]:
         assert function(spark, docs, "/root/testdata/sf0.001").dtypes == docs.dtypes
+
+
+def test_near_duplicates_from_four_fifths(spark):
+    words = [f"w{i}" for i in range(200)]
+    altered = [f"x{i}" if i in (30, 80, 120, 170) else w for i, w in enumerate(words)]  # Jaccard 176 / 216
+    far = [f"y{i}" if i in (20, 60, 100, 140, 180) else w for i, w in enumerate(words)]  # 171 / 221
+    rows = [(i, " ".join(t), "en", "s", len(" ".join(t))) for i, t in enumerate((words, altered, far))]
+    assert {r.doc_id for r in pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").collect()} == {0, 2}
