@@ -8,8 +8,10 @@ reads a word letter by letter: it is the Levenshtein automaton of one edit
 (change, insertion, omission, exchange of neighbours) intersected with the trie.
 Its states are made when first needed and then looked up.
 
-A misspelling counts less than the term, and nothing if labelled clean texts
-hold it. Around each hit the words of a window, and quotation marks that enclose
+A sign or digit between letters may stand for a letter or be one too many, so
+two words that one sign joins are also read as one. Every term of
+``FUZZY_LETTERS`` letters may be misspelled, whatever its weight. A misspelling
+counts less than the term, and nothing if labelled clean texts hold it. Around each hit the words of a window, and quotation marks that enclose
 it, add what they tell by their own log-odds: that separates quoting from abuse.
 The score is the logistic of the prior and the hits' evidence, or the rate of
 toxic labels among texts without hits.
@@ -47,7 +49,6 @@ LEAST_CONTEXTS = 3
 CONTEXTS_KEPT = 8
 LEAST_SHARE = 0.01  # of the toxic texts must hold a term
 LEAST_WEIGHT = 2.5
-FUZZY_WEIGHT = 4.0  # weaker terms must be spelled exactly
 FUZZY_LETTERS = 5  # shorter terms must be spelled exactly
 FUZZY_SHARE = 0.75  # of a term's weight that a misspelling keeps
 WINDOW = 3
@@ -56,6 +57,8 @@ CONTEXT_LIMIT = 2.0
 MOST_WEIGHT = 8.0
 THRESHOLD = 0.7
 WORDS = re.compile(r"[^\W\d_]+|[\"“”„«»‘’'`]")
+# A run of letters, one sign or digit, and the run after it: the sign may stand for a letter or be one too many.
+DISGUISED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)(?=([^\w\s]|[\d_])([^\W\d_]++))")
 QUOTE = '"'
 QUOTES = frozenset("\"“”„«»‘’'`")
 
@@ -65,6 +68,12 @@ def words_of(text: str) -> list[str]:
     return [QUOTE if w in QUOTES else w for w in WORDS.findall(text.lower())]
 
 
+def disguised(text: str) -> Iterator[tuple[int, str]]:
+    """Where a lower-case text has two words that one sign joins, and both with the sign."""
+    for found in DISGUISED.finditer(text):
+        yield found.start(), "".join(found.groups())
+
+
 class FuzzyTrie:
     """Terms in a trie, read by an automaton that allows one edit. A term that ends in ``*`` is a stem:
     any ending may follow, and it is matched without edits."""
@@ -127,7 +136,7 @@ class FuzzyTrie:
                 found.append((self.stems[abs(node)], 0))
             if node in self.ends:
                 term = self.ends[node]
-                if not edits or (len(term) >= FUZZY_LETTERS and self.terms[term] >= FUZZY_WEIGHT):
+                if not edits or len(term) >= FUZZY_LETTERS:
                     found.append((term, edits))
         return min(found, key=lambda f: (f[1], -self.terms[f[0]], f[0])) if found else None
 
@@ -174,16 +183,23 @@ class Model:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_trie"}
 
-    def hits(self, words: list[str]) -> list[tuple[int, str, int]]:
-        """Places, terms and edits of the words that match a term."""
+    def hits(self, text: str, words: list[str]) -> list[tuple[int, str, int, str]]:
+        """Places, terms, edits and spellings of the words of ``text`` that match a term, and of words with a sign inside."""
         match = self.trie().match
         some = {w: m for w in set(words) if len(w) > 1 and (m := match(w)) and not (m[1] and w in self.innocent)}
-        return [(i, *some[w]) for i, w in enumerate(words) if w in some] if some else []
+        found = [(i, *some[w], w) for i, w in enumerate(words) if w in some] if some else []
+        text, at, place = text.lower(), 0, 0
+        for start, word in disguised(text):
+            # A stem needs no edit, and has been found in the part before the sign.
+            if (m := match(word)) and m[1] and word not in self.innocent:
+                at, place = start, place + sum(1 for _ in WORDS.finditer(text, at, start))
+                found.append((place, *m, word))
+        return found
 
     def score(self, text: str) -> float:
         words = words_of(text)
         best: dict[str, float] = {}
-        for at, term, edits in self.hits(words):
+        for at, term, edits, _ in self.hits(text, words):
             weight = min(self.terms[term], MOST_WEIGHT) * (FUZZY_SHARE if edits else 1.0)
             around = sum(self.context.get(w, 0.0) for w in window(words, at))
             weight += max(-CONTEXT_LIMIT, min(CONTEXT_LIMIT, around))
@@ -260,8 +276,8 @@ def _hit_counts(train: DataFrame, model: Model) -> DataFrame:
         for text, label in zip(texts, labels, strict=True):
             words = words_of(text or "")
             found = set()
-            for at, _, edits in known.hits(words):
-                found |= {("c", w) for w in window(words, at)} if not edits else {("m", words[at])}
+            for at, _, edits, spelled in known.hits(text or "", words):
+                found |= {("c", w) for w in window(words, at)} if not edits else {("m", spelled)}
             tally[label].update(found)
         names = list(tally[0].keys() | tally[1].keys())
         return {
@@ -332,7 +348,7 @@ def _base_rate(train: DataFrame, model: Model, clean: int, toxic: int) -> float:
     def count(texts: list[str], labels: list[int]) -> dict:
         known, silent = shared.value, [0, 0]
         for text, label in zip(texts, labels, strict=True):
-            silent[label] += not known.hits(words_of(text or ""))
+            silent[label] += not known.hits(text or "", words_of(text or ""))
         return {"n0": pa.array([silent[0]], pa.int64()), "n1": pa.array([silent[1]], pa.int64())}
 
     row = _counted(train, count, "n0 long, n1 long").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()

@@ -62,3 +62,15 @@ def test_rows_of_any_kind(spark):
     got = toxicity.toxicity(docs, labels).collect()
     assert len(got) == 5 and {round(r.score, 6) for r in got} == {0.05}
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_signs_and_digits_inside_words():
+    model = toxicity.Model(terms={"idiot": 3.0, "moron": 3.0, "stupid": 3.0, "loath*": 3.0}, innocent={"mor-on"}, prior=0.0)
+    clean = model.score("nothing here")
+    for text in ("You ID1OT there", "a m0ron, x", "so st*pid", "st_pid", "id.iot", "x.m0ron", "idiot,moron", "stupix"):
+        assert model.score(text) > toxicity.THRESHOLD > clean, text
+    for text in ("mor-on", "i1d2iot", "id iot", "m0r0n", "12 34", "loa7hed", ""):
+        assert model.score(text) == clean, text
+    assert [(h[0], h[1], h[3]) for h in model.hits("a b-c m0ron d id1ot", toxicity.words_of("a b-c m0ron d id1ot"))] == [
+        (3, "moron", "m0ron"), (6, "idiot", "id1ot")
+    ]
