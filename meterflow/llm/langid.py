@@ -7,9 +7,10 @@ value among texts that read like a language. Host priors are smoothed in two
 steps, hosts towards their domain and domains towards all documents. All counts
 are grouped aggregations over every document.
 
-The trigram models are fitted on a bounded sample of documents that declare
-their language (``TRAIN_ROWS``, chosen by a hash of the key, the whole table if
-it is smaller); at most ``MOST_LANGUAGES`` languages, the most frequent ones.
+Every declared value of a text that is not empty is a possible language. Its
+trigram model is fitted on about ``ROWS_PER_LANGUAGE`` of its documents, chosen
+by a hash of key and text, or on all if it has fewer. Models are held in memory, half
+a megabyte a language on the driver.
 
 Texts without letters, null and empty ones have no language and are rejected,
 as are texts whose best language stays below ``LEAST_BELIEF``. A null
@@ -22,6 +23,7 @@ but texts without letters is rejected. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from meterflow.session import stage, stage_folder
 
 from .common import as_bytes, blocks, salted_join
 
-TRAIN_ROWS = 20_000
-MOST_LANGUAGES = 64
+ROWS_PER_LANGUAGE = 5_000
+AT_ONCE = 16  # languages counted or scored in one array
 LEAST_BELIEF = 0.5
 GRAMS = 1 << 16
 # Neighbouring trigrams share letters, so each counts as this much independent evidence.
@@ -80,8 +82,23 @@ def fit(docs: DataFrame, key: str, text: str, declared: str) -> tuple[list[str],
     labelled = docs.selectExpr(f"`{key}` AS _key", f"`{text}` AS _text", f"`{declared}` AS _lang").filter(
         "_lang IS NOT NULL AND length(_text) > 0"
     )
-    share = min(1.0, TRAIN_ROWS / max(docs.count(), 1))
-    sample = labelled.filter(F.pmod(F.xxhash64("_key"), F.lit(1_000_000)) < int(share * 1_000_000))
+    folder = stage_folder(docs.sparkSession)
+    sizes = stage(labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("_size")), folder, "sizes")
+    # The counts are written, so the planner sends them to every task unless there are very many.
+    place = F.pmod(F.xxhash64("_key", "_text"), F.lit(1_000_000_000)).cast("double")
+    known = salted_join(labelled, sizes, ["_lang"], F.xxhash64("_key", F.length("_text")))
+    sample = known.filter(place * F.col("_size") < ROWS_PER_LANGUAGE * 1_000_000_000).select("_text", "_lang")
+
+    def tables(held: dict[str, np.ndarray], rows: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            some = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([lang] * (len(some) + 1)),
+                    "gram": pa.array(np.append(some, -1), pa.int32()),
+                    "n": pa.array(np.append(counts[some], rows[lang]), pa.int64()),
+                }
+            )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -93,27 +110,24 @@ def fit(docs: DataFrame, key: str, text: str, declared: str) -> tuple[list[str],
                 own = grams[a:b][letters[a:b]]
                 held[lang] = held.get(lang, 0) + np.bincount(own, minlength=GRAMS)
                 rows[lang] = rows.get(lang, 0) + 1
-        for lang, counts in held.items():
-            some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([lang] * (len(some) + 1)),
-                    "gram": pa.array(np.append(some, -1), pa.int32()),
-                    "n": pa.array(np.append(counts[some], rows[lang]), pa.int64()),
-                }
-            )
+                if len(held) > AT_ONCE:
+                    yield from tables(held, rows)
+                    held, rows = {}, {}
+        yield from tables(held, rows)
 
     counted = sample.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = stage(counted, stage_folder(docs.sparkSession), "grams")
-    often = counts.filter("gram = -1").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    languages = sorted(row.lang for row in often.collect())
-    model = np.full((len(languages), GRAMS), 0.5)
-    place = {lang: i for i, lang in enumerate(languages)}
-    kept = counts.filter(F.col("gram") >= 0).filter(F.col("lang").isin(languages))
-    for batch in kept.toArrow().to_batches() if languages else []:  # at most languages x buckets
-        rows = [place[lang] for lang in batch.column("lang").to_pylist()]
-        model[rows, batch.column("gram").to_numpy()] += batch.column("n").to_numpy()
-    return languages, np.log(model / model.sum(axis=1, keepdims=True)).astype(np.float32)
+    counts = stage(counted, folder, "grams")
+    languages = sorted(row.lang for row in counts.filter("gram = -1").select("lang").collect())
+    model = np.full((len(languages), GRAMS), 0.5, dtype=np.float32)
+    places = {lang: i for i, lang in enumerate(languages)}
+    for first in range(0, len(languages), AT_ONCE):
+        part = counts.filter(F.col("gram") >= 0).filter(F.col("lang").isin(languages[first : first + AT_ONCE]))
+        for batch in part.toArrow().to_batches():  # at most AT_ONCE languages x buckets
+            rows = [places[lang] for lang in batch.column("lang").to_pylist()]
+            model[rows, batch.column("gram").to_numpy()] += batch.column("n").to_numpy()
+    for own in model:
+        own[:] = np.log(own / own.sum(dtype=np.float64))
+    return languages, model
 
 
 def _log_likelihoods(docs: DataFrame, languages: list[str], model: np.ndarray, columns: dict[str, str | None]) -> DataFrame:
@@ -130,9 +144,13 @@ def _log_likelihoods(docs: DataFrame, languages: list[str], model: np.ndarray, c
         for block in blocks(batches, "_text", 1 << 20):
             grams, letters, starts = _block_grams(block)
             before = np.concatenate([[0], np.cumsum(letters)])[starts]
-            sums = np.zeros((letters.sum() + 1, table.shape[1]))
-            np.cumsum(table[grams[letters]], axis=0, dtype=np.float64, out=sums[1:])
-            logs = TEMPER * (sums[before[1:]] - sums[before[:-1]])
+            own, logs = grams[letters], np.empty((block.num_rows, table.shape[1]))
+            for first in range(0, table.shape[1], AT_ONCE):
+                some = slice(first, first + AT_ONCE)
+                part = table[own, some]
+                sums = np.zeros((len(part) + 1, part.shape[1]))
+                np.cumsum(part, axis=0, dtype=np.float64, out=sums[1:])
+                logs[:, some] = TEMPER * (sums[before[1:]] - sums[before[:-1]])
             values = pa.FixedSizeListArray.from_arrays(pa.array(logs.ravel()), max(1, logs.shape[1])) if logs.shape[1] else None
             yield pa.RecordBatch.from_arrays(
                 [
@@ -152,6 +170,11 @@ def _best(logs: str, languages: list[str]) -> Column:
     return F.element_at(names, F.array_position(logs, F.array_max(logs)).cast("int"))
 
 
+def _added(logs: Column, more: str) -> Column:
+    """The sum per language; no evidence adds nothing."""
+    return F.when(F.col(more).isNull(), logs).otherwise(F.zip_with(logs, F.col(more), lambda a, b: a + b))
+
+
 def _domain(host: Column) -> Column:
     """The last two labels of a host name."""
     return F.substring_index(host, ".", -2)
@@ -220,9 +243,10 @@ def identify(
         if columns[column]:
             fused = salted_join(fused, value_likelihoods(counts, column, languages), [column], spread)
             parts.append(f"{column}_like")
-    weights = F.array(*(sum((F.coalesce(F.col(p)[i], F.lit(0.0)) for p in parts), F.lit(0.0)) for i in range(len(languages))))
-    fused = fused.withColumn("_fused", weights)
-    belief = 1 / F.aggregate("_fused", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("_fused")))
+    fused = fused.withColumn("_fused", reduce(_added, parts[1:], F.col("_logs")))
+    belief = F.transform(  # a bound variable is computed once, not per language
+        F.array(F.array_max("_fused")), lambda top: 1 / F.aggregate("_fused", F.lit(0.0), lambda s, x: s + F.exp(x - top))
+    )[0]
     named = F.col("_letters") > 0
     return fused.select(
         F.col("_key").alias(key),

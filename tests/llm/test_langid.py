@@ -70,3 +70,18 @@ def test_evidence_equals_plain_counts(spark):
     like = {r["_declared"]: r["_declared_like"] for r in langid.value_likelihoods(counts, "_declared", languages).collect()}
     v = langid.VALUE_WEIGHT
     assert math.isclose(like["en"][0], math.log((4 + v / 2) / (9 + v))) and math.isclose(like["de"][1], math.log((v / 2) / (33 + v)))
+
+
+def test_rare_and_many_languages(spark, monkeypatch):
+    """A language of three documents is learned beside a large one, and so is each of over 64 languages."""
+    monkeypatch.setattr(langid, "ROWS_PER_LANGUAGE", 20)
+    names = [f"l{i:02}" for i in range(70)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {name: " ".join(letters[(i * k + k * k) % 26] + letters[(i + 3 * k) % 26] + letters[(i // 26 + 7 * k) % 26] for k in range(1, 60)) for i, name in enumerate(names)}
+    rows = [(1000 * i + k, words[name], name, f"{name}.example") for i, name in enumerate(names) for k in range(3)]
+    rows += [(100_000 + i, EN, "en", "en.example") for i in range(2000)] + [(200_000 + i, EN, None, None) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert langid.fit(docs, "doc_id", "text", "lang")[0] == ["en", *names]
+    got = langid.identify(docs).filter("doc_id < 200000").groupBy("doc_id").agg(F.first("lang_id").alias("found")).collect()
+    truth = {row[0]: row[2] for row in rows}
+    assert all(r.found == truth[r.doc_id] for r in got) and len(got) == 2210
