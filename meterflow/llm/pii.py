@@ -1,26 +1,32 @@
 """Personal data: patterns, and terms that give protected entities away. DataFrame functions only.
 
 Addresses, numbers and phones are found by pattern. Corpus co-occurrence then
-tells which words reveal them: for a word t near mentions of an entity e, the
-information log2(P(e | t) / P(e)) and the share P(e | t) are estimated over all
-documents. A word that was seen near the entity in several different contexts
-(copies of one passage are one context), and exceeds both thresholds, discloses
-the entity wherever it stands; it becomes a further span ``term`` and is removed
+tells which words reveal them: every word t of a document is counted with every entity
+e of it, whatever its length and place. The share P(e | t) must reach
+``LEAST_SHARE`` and be higher than P(e) beyond chance: a bound on the binomial
+tail, times the pairs tested, must stay below ``CHANCE``, which frequent entities
+and small tables can meet. A word seen with the entity in several different
+contexts (the words around a mention; copies of one passage are one context)
+then discloses the entity wherever it stands; it becomes a further span ``term`` and is removed
 from sanitised texts, while pattern matches are generalised to their kind.
 
 Patterns are anchored so that every run of characters is tried once, so texts
 of any length take linear time. Null and empty texts have no spans. Rows without
-a key keep their pattern spans but get no term spans. Rows of one key share
+a key are told apart by text, keep their pattern spans and get no term spans. Rows of one key share
 their terms. Only the named columns are read; empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.session import stage, stage_folder
 
+from .common import salted_join
+
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 # A start inside a run succeeds only where the run's own start would, but for the end of a match.
@@ -31,12 +37,11 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDED = {"email": "@", "ip": ".", "phone": "+"}  # without it a text has no match
-WINDOW = 3  # words on each side of a mention
+WINDOW = 3  # words on each side of a mention that make its context
 REACH = 96  # characters in which they are looked for
-LEAST_LETTERS = 4
 LEAST_CONTEXTS = 3
 LEAST_SHARE = 0.8
-LEAST_BITS = 6.0
+CHANCE = 0.01
 GROUP = 128  # matches whose places are added up together
 NONE = "array<struct<kind:string,start:int,stop:int,value:string>>"
 
@@ -114,36 +119,45 @@ def _near(text: Column, span: Column) -> Column:
     before = F.when(first > 0, F.slice(before, 2, F.size(before))).otherwise(before)
     after = F.split(F.lower(text.substr(span.stop + 1, F.lit(REACH))), "[^\\p{L}]+")
     after = F.when(span.stop + REACH < F.length(text), F.slice(after, 1, F.size(after) - 1)).otherwise(after)
-    long = lambda words: F.filter(words, lambda w: F.length(w) >= LEAST_LETTERS)
-    left, right = long(before), long(after)
+    left, right = F.array_remove(before, ""), F.array_remove(after, "")
     return F.concat(F.slice(left, F.greatest(F.size(left) - WINDOW + 1, F.lit(1)), WINDOW), F.slice(right, 1, WINDOW))
 
 
+def _words(text: Column) -> Column:
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), "[^\\p{L}]+")), "")
+
+
 def revealing_terms(found: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     """``_key, terms``: the terms each document holds that disclose an entity.
 
-    ``found`` has ``_key`` and ``mentions`` (entity and the words near it), ``docs`` ``_key`` and ``_text``.
+    ``found`` has ``_id``, ``mentions`` (entity and the words near it) and ``words``, ``docs`` ``_key`` and ``_text``.
     """
-    mentions = found.filter(F.size("mentions") > 0).select("_key", F.explode("mentions").alias("m")).select(
-        "_key", "m.entity", "m.near", F.xxhash64("m.near").alias("context")
-    )
-    entities = mentions.select("_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    beside = mentions.select("_key", "entity", "context", F.explode(F.array_distinct("near")).alias("term"))
-    contexts = beside.select("term", "entity", "context").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_contexts"))
-    together = beside.select("term", "entity", "_key").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_both"))
-    # A term stands in at least as many documents as it stands near any entity in, so no pair is lost here.
-    anywhere = beside.select("term", "_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    pairs = contexts.filter(F.col("n_contexts") >= LEAST_CONTEXTS).join(together, ["term", "entity"]).join(anywhere, "term")
-    pairs = pairs.filter(F.col("n_both") >= LEAST_SHARE * F.col("n_near")).drop("n_near").join(entities, "entity")
+    mentions = found.select("_id", F.explode("mentions").alias("m")).select("_id", "m.entity", F.xxhash64("m.near").alias("context"))
+    mentions = stage(mentions.groupBy("_id", "entity").agg(F.min("context").alias("context")), folder, "entities")
+    by_context = mentions.groupBy("entity", "context").agg(F.count(F.lit(1)).alias("_n"))
+    entities = by_context.groupBy("entity").agg(F.sum("_n").alias("n_entity"), F.count(F.lit(1)).alias("_contexts"))
+    entities = stage(entities.filter(F.col("_contexts") >= LEAST_CONTEXTS).drop("_contexts"), folder, "often")
+    known = stage(salted_join(mentions, entities, ["entity"], F.xxhash64("_id")).filter("n_entity IS NOT NULL"), folder, "known")
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+    # A term needs LEAST_CONTEXTS documents and a share of LEAST_SHARE, so what is left out here discloses nothing.
+    words = docs.select("_key", F.explode(_words(F.col("_text"))).alias("term"))
+    spread = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    spread = stage(spread.filter((F.col("n_term") >= LEAST_CONTEXTS) & (LEAST_SHARE * F.col("n_term") <= most)), folder, "spread")
+    held = found.join(known.select("_id").distinct(), "_id", "left_semi").select("_id", F.explode("words").alias("term")).distinct()
+    held = salted_join(held, spread, ["term"], F.xxhash64("_id")).filter("n_term IS NOT NULL")
+    both = held.join(known, "_id").filter(LEAST_SHARE * F.col("n_term") <= F.col("n_entity"))
+    both = both.groupBy("term", "entity", "n_term", "n_entity", "context").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = both.groupBy("term", "entity", "n_term", "n_entity").agg(F.sum("_n").alias("n_both"), F.count(F.lit(1)).alias("n_contexts"))
     pairs = stage(pairs, folder, "pairs")
-    words = docs.select("_key", F.explode(F.array_distinct(F.split(F.lower("_text"), "[^\\p{L}]+"))).alias("term"))
-    holders = stage(words.join(pairs.select("term").distinct(), "term"), folder, "holders")
-    spread = holders.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n = docs.count()
-    share = F.col("n_both") / F.col("n_term")
-    bits = F.log2(share / (F.col("n_entity") / F.lit(max(n, 1))))
-    told = pairs.join(spread, "term").filter((share >= LEAST_SHARE) & (bits >= LEAST_BITS)).select("term").distinct()
-    return holders.join(told, "term").filter("_key IS NOT NULL").groupBy("_key").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    n, tests = max(docs.count(), 1), max(pairs.count(), 1)
+    share, usual = F.col("n_both") / F.col("n_term"), F.col("n_entity") / F.lit(n)
+    # Chernoff's bound: so many documents of n_term hold the entity by chance with at most 2 ** -bits.
+    rest = F.when(share < 1, (1 - share) * F.log2((1 - share) / (1 - usual))).otherwise(0.0)
+    bits = F.when(share > usual, F.col("n_term") * (share * F.log2(share / usual) + rest)).otherwise(0.0)
+    sure = (F.col("n_contexts") >= LEAST_CONTEXTS) & (share >= LEAST_SHARE) & (bits >= math.log2(tests / CHANCE))
+    told = stage(pairs.filter(sure).select("term").distinct(), folder, "told")
+    holders = words.filter("_key IS NOT NULL").join(told, "term")
+    return holders.groupBy("_key").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -152,7 +166,10 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     plain = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     based = plain.select("_key", "_text", base_spans(F.col("_text")).alias("base"))
     mentions = F.transform("base", lambda s: F.struct(F.concat_ws(":", s.kind, s.value).alias("entity"), _near(F.col("_text"), s).alias("near")))
-    found = stage(based.filter(F.size("base") > 0).select("_key", mentions.alias("mentions")), folder, "mentions")
+    own = F.coalesce(F.col("_key").cast("string"), F.concat(F.lit("text "), F.sha2("_text", 256)))
+    beside = F.regexp_replace("_text", PATTERNS["email"], " ")  # an address is no term of itself
+    found = based.filter(F.size("base") > 0).select(own.alias("_id"), mentions.alias("mentions"), _words(beside).alias("words"))
+    found = stage(found, folder, "mentions")
     terms = stage(revealing_terms(found, plain, folder), folder, "terms")
     joined = based.join(terms, "_key", "left")  # the planner sends the written terms to every task if they are few
     quoted = F.transform("terms", lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E")))

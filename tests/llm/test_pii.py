@@ -75,3 +75,19 @@ def test_rows_of_any_kind(spark):
     assert [r.spans for r in got] == ["ip:0:7", "email:2:8", "email:2:8", "", "", "email:500000:500006"]
     assert got[3].base_sha256 == hashlib.sha256(b"").hexdigest() and got[1].n_email == 1
     assert pii.find(docs.limit(0)).count() == 0
+
+
+def test_terms_far_from_frequent_entities(spark):
+    """A short name sentences away from the address that a third of a small table shares."""
+    rng = random.Random(5)
+    common = ["alpha", "bravo", "delta", "gamma", "omega", "sigma", "theta", "kappa"]
+
+    def prose(n: int) -> str:
+        return " ".join(rng.choices(common, k=n))
+
+    rows = [(i, f"\u674e\u660e wrote. {prose(30)}. {prose(6)} hot@example.org {prose(6)}") for i in range(20)]
+    rows += [(100 + i, prose(40)) for i in range(40)] + [(200, "by \u674e\u660e alone")]
+    found = pii.find(spark.createDataFrame(rows, SCHEMA))
+    terms = {r.doc_id: {r.text[s.start : s.stop] for s in r.spans if s.kind == "term"} for r in found.collect()}
+    assert all("\u674e\u660e" in terms[i] for i in [*range(20), 200])
+    assert not any(terms[100 + i] for i in range(40)) and not any(set(common) & t for t in terms.values())
