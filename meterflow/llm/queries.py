@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, pii, quality, secrets, toxicity, urls
+from . import ann, bpe, langid, minhash, mixing, pieces, pii, quality, secrets, toxicity, urls
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 # How often the mix may repeat the smallest source.
 SOURCE_REPEATS = 2.0
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,21 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"))
 
 
+def piece_digests(docs: DataFrame, path: str = PIECES) -> DataFrame:
+    """Count of all ids and digests of ids and of the decoded text, per document."""
+    coded = pieces.encode(docs, path, decoded=True)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(read(spark, sf_dir, "documents"))
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:stop`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
@@ -104,6 +120,7 @@ def build() -> dict[str, Query]:
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_neighbours": op10_neighbours,
+        "op11_sentencepiece": op11_sentencepiece,
     }
 
 
