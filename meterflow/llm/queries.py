@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, minhash, mixing, pieces, pii, quality, secrets, toxicity, urls
+from . import ann, bpe, divergence, langid, minhash, mixing, pieces, pii, quality, secrets, toxicity, urls
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:stop`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
@@ -121,8 +125,9 @@ def build() -> dict[str, Query]:
         "op9_quality": op9_quality,
         "op10_neighbours": op10_neighbours,
         "op11_sentencepiece": op11_sentencepiece,
+        "op13_divergence": op13_divergence,
     }
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op13_divergence": divergence.ORACLE}
