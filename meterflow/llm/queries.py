@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, divergence, langid, minhash, mixing, pieces, pii, quality, secrets, toxicity, urls
+from . import ann, bpe, divergence, langid, minhash, mixing, pieces, pii, quality, secrets, toxicity, urls, variants
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read(spark, sf_dir, "documents"))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
@@ -125,6 +129,7 @@ def build() -> dict[str, Query]:
         "op9_quality": op9_quality,
         "op10_neighbours": op10_neighbours,
         "op11_sentencepiece": op11_sentencepiece,
+        "op12_variants": op12_variants,
         "op13_divergence": op13_divergence,
     }
 
