@@ -15,8 +15,9 @@ the smaller one starts. Level by level the frontier is then joined with the edge
 table by node and next letter; a state follows one edge or ends. Below a node
 without branches it goes down at once to the next branch, so the number of
 levels is that of branches on a path, not of letters. A state above a single
-word is a neighbour if comparing both words once more confirms it, which also
-makes up for letters passed unread and for equal hashes.
+word ends there: the hash of the letters left must be the same, and comparing
+both words confirms the neighbour, which makes up for letters passed unread and
+for equal hashes.
 
 A join by node may meet very many words at one node (the root, a common
 prefix): both sides are then split by ``CROWD`` words.
@@ -50,7 +51,8 @@ RATIO = 10
 CROWD = 1 << 14
 END = 0  # the letter behind a word's last
 BASE = np.uint64(0x9E3779B97F4A7C15)
-STEPS = "id long, depth int, node long, letter int, after int, child long"
+BACK = np.uint64(pow(int(BASE), -1, 2**64))
+STEPS = "id long, depth int, node long, letter int, after int, child long, tail long, after_tail long"
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,9 +81,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def path_steps(words: DataFrame) -> DataFrame:
-    """``id, depth, node, letter, after, child``: every step of each word's path, the end included.
+    """``id, depth, node, letter, after, child, tail, after_tail``: every step of each word's path, the end included.
 
-    ``after`` is the letter behind ``letter``; behind the end it is null.
+    ``after`` is the letter behind ``letter``; behind the end it is null. The tails are hashes of all
+    that follows ``letter`` and ``after``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,12 +97,15 @@ def path_steps(words: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(texts)), lengths)
                 first = np.cumsum(lengths) - lengths
                 depth = np.arange(len(letters)) - first[owner]
-                powers = np.full(int(lengths.max(initial=0)) + 1, BASE, np.uint64)
-                powers[:1] = 1
-                np.multiply.accumulate(powers, out=powers)
+                powers, backs = (np.full(int(lengths.max(initial=0)) + 1, base, np.uint64) for base in (BASE, BACK))
+                for power in (powers, backs):
+                    power[:1] = 1
+                    np.multiply.accumulate(power, out=power)
                 sums = np.cumsum(_mix(letters.astype(np.uint64) + np.uint64(1)) * powers[depth])
                 before = np.concatenate([np.zeros(1, np.uint64), sums])[first][owner]
                 down = _mix(sums - before + depth.astype(np.uint64) + np.uint64(1))
+                tail = (np.repeat(sums[first + lengths - 1], lengths) - sums) * backs[depth + 1]
+                after_tail = np.append(tail[1:], np.zeros(1, np.uint64))
                 node = np.empty_like(down)
                 node[1:] = down[:-1]
                 node[first] = 0
@@ -112,19 +118,22 @@ def path_steps(words: DataFrame) -> DataFrame:
                         "id": pa.array(ids[some]), "depth": pa.array(depth[some].astype(np.int32)),
                         "node": pa.array(node[some].view(np.int64)), "letter": pa.array(letters[some].astype(np.int32)),
                         "after": pa.array(after[some], mask=ends[some]), "child": pa.array(down[some].view(np.int64)),
+                        "tail": pa.array(tail[some].view(np.int64)), "after_tail": pa.array(after_tail[some].view(np.int64)),
                     })
 
     return words.select("id", "word").mapInArrow(run, STEPS)
 
 
 def edge_table(steps: DataFrame, folder: str) -> DataFrame:
-    """``node, letter, depth, child, n, one, bottom, skip``: the edges of the trie.
+    """``node, letter, depth, child, n, one, tail, bottom, skip``: the edges of the trie.
 
-    ``n`` words lie below, the smallest id of them is ``one``; ``bottom`` is the deepest node with the
-    same words below, ``skip`` letters further down.
+    ``n`` words lie below, the smallest id of them is ``one``; of an edge above a single word ``tail``
+    is the hash of the letters left. ``bottom`` is the deepest node with the same words below, ``skip``
+    letters further down.
     """
     edges = steps.groupBy("node", "letter").agg(
-        F.min("child").alias("child"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one")
+        F.min("child").alias("child"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one"),
+        F.min("tail").alias("tail"),
     )
     edges = stage(edges, folder, "plain_edges")
     # Nodes with the same smallest word lie on its path, so as many words below are the same words.
@@ -134,7 +143,7 @@ def edge_table(steps: DataFrame, folder: str) -> DataFrame:
     joined = edges.join(chains, ["one", "n"], "left")
     return stage(
         joined.select(
-            "node", "letter", "depth", "child", "n", "one", F.coalesce("bottom", "child").alias("bottom"),
+            "node", "letter", "depth", "child", "n", "one", "tail", F.coalesce("bottom", "child").alias("bottom"),
             F.coalesce(F.col("_depth") - F.col("depth"), F.lit(0)).alias("skip"),
         ),
         folder, "edges",
@@ -148,20 +157,21 @@ def one_edit_states(steps: DataFrame, edges: DataFrame) -> DataFrame:
     """
     branches = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_ways"), F.sum("n").alias("_crowd")).filter("_ways > 1")
     branches = branches.select("node", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
-    second = edges.select(F.col("node").alias("child"), F.col("letter").alias("next"), "n", "one", "bottom", "skip")
+    second = edges.select(F.col("node").alias("child"), F.col("letter").alias("next"), "n", "one", "tail", "bottom", "skip")
     turns = edges.filter(F.col("letter") != END).join(branches, "node").select("node", F.col("letter").alias("turn"), "child", "_parts")
     turns = turns.join(second, "child").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    turns = turns.select("node", "turn", "next", "_part", "n", "one", "bottom", "skip")
+    turns = turns.select("node", "turn", "next", "_part", "n", "one", "tail", "bottom", "skip")
     # The root and other short prefixes are on very many paths.
-    own = salted_join(steps.drop("child"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
-    replaced = F.struct(F.col("after").alias("next"), (F.col("depth") + 2).alias("at"), F.lit(True).alias("replaced"))
-    inserted = F.struct(F.col("letter").alias("next"), (F.col("depth") + 1).alias("at"), F.lit(False).alias("replaced"))
+    own = salted_join(steps.drop("child").withColumnRenamed("tail", "own_tail"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
+    replaced = F.struct(F.col("after").alias("next"), F.col("after_tail").alias("left"), (F.col("depth") + 2).alias("at"), F.lit(True).alias("replaced"))
+    inserted = F.struct(F.col("letter").alias("next"), F.col("own_tail").alias("left"), (F.col("depth") + 1).alias("at"), F.lit(False).alias("replaced"))
     asked = own.select(
         "id", "node", "letter", "depth", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_parts")).cast("int").alias("_part"),
         F.explode(F.array(replaced, inserted)).alias("_edit"),
     ).select("id", "node", "letter", "depth", "_part", "_edit.*").filter("next IS NOT NULL")
     met = asked.join(turns, ["node", "next", "_part"])
     met = met.filter(F.when(F.col("replaced"), F.col("turn") > F.col("letter")).otherwise(F.col("turn") != F.col("letter")))
+    met = met.filter((F.col("n") > 1) | (F.col("tail") == F.col("left")))  # a single word is below: its letters must be the rest
     return met.select(
         "id", (F.col("at") + F.col("skip")).alias("at"), F.col("bottom").alias("node"), "n", "one",
         F.col("depth").alias("same"), F.col("replaced").cast("int").alias("gone"),
