@@ -52,7 +52,8 @@ CROWD = 1 << 14
 END = 0  # the letter behind a word's last
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(BASE), -1, 2**64))
-STEPS = "id long, depth int, node long, letter int, after int, child long, tail long, after_tail long"
+AHEAD = 4  # letters read at once behind an edit
+STEPS = "id long, depth int, node long, letter int, here long, ahead long, child long, far long, tail long, far_tail long"
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -81,10 +82,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def path_steps(words: DataFrame) -> DataFrame:
-    """``id, depth, node, letter, after, child, tail, after_tail``: every step of each word's path, the end included.
+    """Every step of each word's path, the end included.
 
-    ``after`` is the letter behind ``letter``; behind the end it is null. The tails are hashes of all
-    that follows ``letter`` and ``after``.
+    ``id, depth, node, letter, child``: the step itself. ``here`` and ``ahead`` are hashes of the next
+    ``AHEAD`` letters from ``letter`` on and behind it (up to the end; ``ahead`` is null behind the end),
+    ``far`` is the node behind ``ahead``, ``tail`` and ``far_tail`` are hashes of all behind ``here`` and ``ahead``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,12 +106,15 @@ def path_steps(words: DataFrame) -> DataFrame:
                 sums = np.cumsum(_mix(letters.astype(np.uint64) + np.uint64(1)) * powers[depth])
                 before = np.concatenate([np.zeros(1, np.uint64), sums])[first][owner]
                 down = _mix(sums - before + depth.astype(np.uint64) + np.uint64(1))
-                tail = (np.repeat(sums[first + lengths - 1], lengths) - sums) * backs[depth + 1]
-                after_tail = np.append(tail[1:], np.zeros(1, np.uint64))
+                last = np.repeat(first + lengths - 1, lengths)
+                rest = (sums[last] - sums) * backs[depth + 1]  # of all letters behind each
+                own = np.arange(len(letters))
+                stop = [np.minimum(own + k, last) for k in (AHEAD - 1, AHEAD)]  # the last letter read
+                here = _mix((sums[stop[0]] - sums + _mix(letters.astype(np.uint64) + np.uint64(1)) * powers[depth]) * backs[depth])
+                ahead = np.append(here[1:], np.zeros(1, np.uint64))
                 node = np.empty_like(down)
                 node[1:] = down[:-1]
                 node[first] = 0
-                after = np.append(letters[1:], 0).astype(np.int32)
                 ends = letters == END
                 ids = part.column("id").to_numpy()[owner]
                 for low in range(0, len(letters), 1 << 18):
@@ -117,72 +122,68 @@ def path_steps(words: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pydict({
                         "id": pa.array(ids[some]), "depth": pa.array(depth[some].astype(np.int32)),
                         "node": pa.array(node[some].view(np.int64)), "letter": pa.array(letters[some].astype(np.int32)),
-                        "after": pa.array(after[some], mask=ends[some]), "child": pa.array(down[some].view(np.int64)),
-                        "tail": pa.array(tail[some].view(np.int64)), "after_tail": pa.array(after_tail[some].view(np.int64)),
+                        "here": pa.array(here[some].view(np.int64)), "ahead": pa.array(ahead[some].view(np.int64), mask=ends[some]),
+                        "child": pa.array(down[some].view(np.int64)), "far": pa.array(down[stop[1]][some].view(np.int64)),
+                        "tail": pa.array(rest[stop[0]][some].view(np.int64)), "far_tail": pa.array(rest[stop[1]][some].view(np.int64)),
                     })
 
     return words.select("id", "word").mapInArrow(run, STEPS)
 
 
-def edge_table(steps: DataFrame, folder: str) -> DataFrame:
-    """``node, letter, depth, child, n, one, tail, bottom, skip``: the edges of the trie.
+def chains_of(edges: DataFrame) -> DataFrame:
+    """``one, n, bottom, bottom_depth``: the deepest node above each set of words that is below an edge.
 
-    ``n`` words lie below, the smallest id of them is ``one``; of an edge above a single word ``tail``
-    is the hash of the letters left. ``bottom`` is the deepest node with the same words below, ``skip``
-    letters further down.
+    Nodes with the same smallest word lie on its path, so as many words below are the same words.
     """
-    edges = steps.groupBy("node", "letter").agg(
-        F.min("child").alias("child"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one"),
-        F.min("tail").alias("tail"),
-    )
-    edges = stage(edges, folder, "plain_edges")
-    # Nodes with the same smallest word lie on its path, so as many words below are the same words.
-    chains = edges.filter("n > 1").groupBy("one", "n").agg(
-        F.max_by("child", "depth").alias("bottom"), F.max("depth").alias("_depth")
-    )
-    joined = edges.join(chains, ["one", "n"], "left")
-    return stage(
-        joined.select(
-            "node", "letter", "depth", "child", "n", "one", "tail", F.coalesce("bottom", "child").alias("bottom"),
-            F.coalesce(F.col("_depth") - F.col("depth"), F.lit(0)).alias("skip"),
-        ),
-        folder, "edges",
+    return edges.filter("n > 1").groupBy("one", "n").agg(F.max_by("child", "depth").alias("bottom"), (F.max("depth") + 1).alias("bottom_depth"))
+
+
+def edge_table(steps: DataFrame) -> DataFrame:
+    """``node, letter, depth, child, n, one``: the trie's edges, ``n`` words below, ``one`` the smallest id of them."""
+    return steps.groupBy("node", "letter").agg(
+        F.min("child").alias("child"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one")
     )
 
 
-def one_edit_states(steps: DataFrame, edges: DataFrame) -> DataFrame:
-    """``id, at, node, n, one, same, gone``: the states of one edit, just behind the letter that follows it.
+def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame) -> DataFrame:
+    """``id, at, node, n, one, same, gone``: the states of one edit, ``AHEAD`` letters behind it or at the next branch below.
 
     ``same`` letters lie before the edit, which takes ``gone`` letters of the word and one of the other's.
     """
     branches = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_ways"), F.sum("n").alias("_crowd")).filter("_ways > 1")
     branches = branches.select("node", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
-    second = edges.select(F.col("node").alias("child"), F.col("letter").alias("next"), "n", "one", "tail", "bottom", "skip")
-    turns = edges.filter(F.col("letter") != END).join(branches, "node").select("node", F.col("letter").alias("turn"), "child", "_parts")
-    turns = turns.join(second, "child").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    turns = turns.select("node", "turn", "next", "_part", "n", "one", "tail", "bottom", "skip")
     # The root and other short prefixes are on very many paths.
-    own = salted_join(steps.drop("child").withColumnRenamed("tail", "own_tail"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
-    replaced = F.struct(F.col("after").alias("next"), F.col("after_tail").alias("left"), (F.col("depth") + 2).alias("at"), F.lit(True).alias("replaced"))
-    inserted = F.struct(F.col("letter").alias("next"), F.col("own_tail").alias("left"), (F.col("depth") + 1).alias("at"), F.lit(False).alias("replaced"))
+    own = salted_join(steps.drop("child"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
+    turns = own.filter(F.col("letter") != END).groupBy("node", F.col("letter").alias("turn"), F.col("ahead").alias("next")).agg(
+        F.min("far").alias("far"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one"),
+        F.min("far_tail").alias("left"), F.min("_parts").alias("_parts"),
+    ).join(chains, ["one", "n"], "left")
+    skip = F.coalesce(F.col("bottom_depth") - F.col("depth") - 1 - AHEAD, F.lit(0))
+    turns = turns.select(
+        "node", "turn", "next", "n", "one", "left", F.coalesce("bottom", "far").alias("bottom"), skip.alias("skip"),
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"),
+    )
+    replaced = F.struct(F.col("ahead").alias("next"), F.col("far_tail").alias("rest"), F.lit(1).alias("gone"))
+    inserted = F.struct(F.col("here").alias("next"), F.col("tail").alias("rest"), F.lit(0).alias("gone"))
     asked = own.select(
         "id", "node", "letter", "depth", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_parts")).cast("int").alias("_part"),
         F.explode(F.array(replaced, inserted)).alias("_edit"),
     ).select("id", "node", "letter", "depth", "_part", "_edit.*").filter("next IS NOT NULL")
     met = asked.join(turns, ["node", "next", "_part"])
-    met = met.filter(F.when(F.col("replaced"), F.col("turn") > F.col("letter")).otherwise(F.col("turn") != F.col("letter")))
-    met = met.filter((F.col("n") > 1) | (F.col("tail") == F.col("left")))  # a single word is below: its letters must be the rest
+    met = met.filter(F.when(F.col("gone") == 1, F.col("turn") > F.col("letter")).otherwise(F.col("turn") != F.col("letter")))
+    met = met.filter("n > 1 OR left = rest")  # a single word is below: its letters must be the rest
     return met.select(
-        "id", (F.col("at") + F.col("skip")).alias("at"), F.col("bottom").alias("node"), "n", "one",
-        F.col("depth").alias("same"), F.col("replaced").cast("int").alias("gone"),
+        "id", (F.col("depth") + F.col("gone") + AHEAD + F.col("skip")).alias("at"), F.col("bottom").alias("node"),
+        "n", "one", F.col("depth").alias("same"), "gone",
     )
 
 
 def near_pairs(words: DataFrame, folder: str) -> DataFrame:
     """``a, b``: the ids of all pairs of words one edit apart, each pair once."""
     steps = stage(path_steps(words), folder, "steps")
-    edges = edge_table(steps, folder)
-    states = stage(one_edit_states(steps, edges), folder, "states0")
+    edges = stage(edge_table(steps), folder, "edges")
+    chains = stage(chains_of(edges), folder, "chains")
+    states = stage(one_edit_states(steps, edges, chains), folder, "states0")
     pair = ["id", "one", "same", "gone"]
     found = [states.filter("n = 1").select(*pair)]
     spelled = words.select("id", "word")
@@ -191,7 +192,11 @@ def near_pairs(words: DataFrame, folder: str) -> DataFrame:
     )
     level = 0
     going = stage(going, folder, "going0")
-    follow = edges.select("node", "letter", "bottom", "skip", "n", "one")
+    follow = edges.join(chains, ["one", "n"], "left").select(
+        "node", "letter", F.coalesce("bottom", "child").alias("bottom"), "n", "one",
+        F.coalesce(F.col("bottom_depth") - F.col("depth") - 1, F.lit(0)).alias("skip"),
+    )
+    follow = stage(follow, folder, "follow")
     while not going.isEmpty():
         level += 1
         moved = going.withColumn("letter", F.ascii("rest")).join(follow, ["node", "letter"])  # of an empty rest: END
