@@ -45,6 +45,7 @@ SMOOTHING = 4.0
 ALPHABET = 42
 BEGIN, END = "\x02", "\x03"
 PIECE = 64
+CUT_STEP, MOST_CUT = 0.05, 10.0
 HELD_OUT = 5  # one labelled address of so many calibrates
 
 
@@ -141,19 +142,22 @@ def score(table: DataFrame, terms: DataFrame, *keep: str) -> DataFrame:
 
 
 def threshold(scored: DataFrame, kind: str = "accepted") -> DataFrame:
-    """One row: the cut between bins of 0.05 with the best balanced accuracy, the nearest to 0 if several are."""
-    width = 0.05
-    bins = F.least(F.greatest(F.floor(F.col("score") / width), F.lit(-200)), F.lit(200))
+    """One row: of all multiples of ``CUT_STEP`` up to ``MOST_CUT`` the cut with the best balanced accuracy, the nearest to 0 if several are."""
+    most = round(MOST_CUT / CUT_STEP)
+    bins = F.least(F.greatest(F.floor(F.col("score") / CUT_STEP), F.lit(-most)), F.lit(most)).cast("long")
     counts = scored.groupBy(bins.alias("bin")).agg(
         F.sum(F.when(F.col(kind), F.col("copies")).otherwise(0)).alias("a"), F.sum(F.when(~F.col(kind), F.col("copies")).otherwise(0)).alias("r")
     )
-    every = Window.partitionBy(F.lit(1))  # at most 401 rows
+    # Where the kinds part cleanly, the cuts in the gap between them have no rows of their own.
+    empty = scored.sparkSession.range(-most, most + 1).select(F.col("id").alias("bin"), F.lit(0).alias("a"), F.lit(0).alias("r"))
+    counts = counts.union(empty).groupBy("bin").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+    every = Window.partitionBy(F.lit(1))  # 2 * most + 1 rows
     below = every.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     rate = (
         F.try_divide(F.coalesce(F.sum("r").over(below), F.lit(0)), F.sum("r").over(every))
         + F.try_divide(F.sum("a").over(every) - F.coalesce(F.sum("a").over(below), F.lit(0)), F.sum("a").over(every))
     )
-    cuts = counts.select((F.col("bin") * width).alias("cut"), F.round(rate, 9).alias("rate")).filter("rate IS NOT NULL")
+    cuts = counts.select((F.col("bin") * CUT_STEP).alias("cut"), F.round(rate, 9).alias("rate")).filter("rate IS NOT NULL")
     best = cuts.agg(F.min_by("cut", F.struct(-F.col("rate"), F.abs("cut"), "cut")).alias("cut"))
     return best.select(F.coalesce("cut", F.lit(0.0)).alias("cut"))
 

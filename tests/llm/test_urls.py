@@ -95,3 +95,26 @@ def test_a_large_table_keeps_rare_grams(spark):
     assert {"qzj", "/qzj", f"qzj{urls.END}"} <= grams and "m/w" not in grams
     parts = urls.score(table.withColumn("_key", F.col("path")), urls.fit(table), "_key").collect()
     assert {r["_key"]: r.score > 0 for r in parts} == {"/page": True, "/es/x": False, "/qzj": True, "/w": True}
+
+
+@pytest.mark.parametrize("accepted, rejected, cut", [
+    ([4.6, 5.2, 6.0], [-5.3, -7.1], 0.0),  # a wide gap: the cut nearest to 0
+    ([1.31, 2.0], [-3.0, 0.52, 0.61], 0.65),
+    ([-2.0, -1.01], [-4.0, -3.3], -2.0),
+    ([-1.0, 3.0, 3.1], [-2.0, 1.0, 1.2, 1.41], 1.45),
+    ([0.7], [], 0.0),
+    ([], [], 0.0),
+    ([50.0, 30.0], [-50.0], 0.0),
+])
+def test_threshold_equals_plain_python(spark, accepted, rejected, cut):
+    rows = [(x, True, 1) for x in accepted] + [(x, False, 2) for x in rejected]
+    scored = spark.createDataFrame(rows, "score double, accepted boolean, copies long")
+    found = urls.threshold(scored).first().cut
+    if accepted and rejected:
+
+        def rate(at: float) -> float:
+            return sum(x >= at for x in accepted) / len(accepted) + sum(x < at for x in rejected) / len(rejected)
+
+        every = [k * urls.CUT_STEP for k in range(-200, 201)]
+        assert found == pytest.approx(min(every, key=lambda at: (-round(rate(at), 9), abs(at), at)))
+    assert found == pytest.approx(cut)
