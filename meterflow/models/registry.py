@@ -14,12 +14,15 @@ OLS = "ols"
 ELASTIC_NET = "elastic_net"
 BOOSTING = "boosting"
 FOREST = "forest"
+# Grown by our own aggregations: boosting with leaf penalties, and trees with random thresholds.
+HISTOGRAM = "histogram"
+RANDOMISED = "randomised"
 
 # Deepest tree a compact budget grows, by kind of model.
-_COMPACT_DEPTH = {BOOSTING: 5, FOREST: 8}
+_COMPACT_DEPTH = {BOOSTING: 5, FOREST: 8, HISTOGRAM: 4, RANDOMISED: 8}
 # Compact models have this share of the trees, within the given bounds.
 _COMPACT_SHARE = 12
-_COMPACT_TREES = {BOOSTING: (10, 30), FOREST: (20, 40)}
+_COMPACT_TREES = {BOOSTING: (10, 30), FOREST: (20, 40), HISTOGRAM: (8, 12), RANDOMISED: (20, 40)}
 _COMPACT_STEP = 0.3
 # MLlib trees have at most 30 levels; 12 hold 4,096 leaves.
 _FULL_DEPTH = 12
@@ -41,6 +44,8 @@ class ModelSpec:
     features: str = "all"
     bootstrap: bool = True
     bins: int = 32
+    l1: float = 0.0
+    l2: float = 0.0
 
 
 def compact(spec: ModelSpec) -> ModelSpec:
@@ -59,8 +64,8 @@ def compact(spec: ModelSpec) -> ModelSpec:
 _FAST = [
     ModelSpec("Ridge", RIDGE, alpha=1.0),
     ModelSpec("Linear Regression", OLS),
-    ModelSpec("Hist Gradient Boosting", BOOSTING, trees=120, step=0.05, depth=6, min_leaf=20, bins=255),
-    ModelSpec("Extra Trees", FOREST, trees=200, features="0.8", bootstrap=False),
+    ModelSpec("Hist Gradient Boosting", HISTOGRAM, trees=120, step=0.05, depth=6, min_leaf=20, bins=255, l2=0.1),
+    ModelSpec("Extra Trees", RANDOMISED, trees=200, features="0.8"),
     ModelSpec("Random Forest", FOREST, trees=160, features="sqrt"),
     ModelSpec("XGBoost", BOOSTING, trees=180, step=0.05, depth=5, rows=0.9, features="0.9"),
     ModelSpec("XGBoost Strong", BOOSTING, trees=240, step=0.035, depth=6, min_leaf=2, rows=0.9, features="0.85"),
@@ -70,9 +75,9 @@ _BALANCED = [
     ModelSpec("ElasticNet", ELASTIC_NET, alpha=0.002, l1_ratio=0.2),
     ModelSpec("Linear Regression", OLS),
     ModelSpec("Gradient Boosting", BOOSTING, trees=380, step=0.025, depth=3, min_leaf=2),
-    ModelSpec("Hist Gradient Boosting", BOOSTING, trees=320, step=0.04, depth=10, min_leaf=20, bins=255),
-    ModelSpec("Extra Trees", FOREST, trees=500, features="0.8", bootstrap=False),
-    ModelSpec("Extra Trees Smoothed", FOREST, trees=350, rows=0.8, bootstrap=False),
+    ModelSpec("Hist Gradient Boosting", HISTOGRAM, trees=320, step=0.04, depth=10, min_leaf=20, bins=255, l2=0.1),
+    ModelSpec("Extra Trees", RANDOMISED, trees=500, features="0.8"),
+    ModelSpec("Extra Trees Smoothed", RANDOMISED, trees=350, rows=0.8),
     ModelSpec("Random Forest", FOREST, trees=420, features="sqrt", min_leaf=2),
     ModelSpec("XGBoost", BOOSTING, trees=420, step=0.03, depth=6, min_leaf=2, rows=0.92, features="0.88"),
     ModelSpec("XGBoost Strong", BOOSTING, trees=560, step=0.02, depth=7, min_leaf=3, rows=0.9, features="0.85"),
@@ -82,9 +87,9 @@ _FULL = [
     ModelSpec("ElasticNet", ELASTIC_NET, alpha=0.0015, l1_ratio=0.15),
     ModelSpec("Linear Regression", OLS),
     ModelSpec("Gradient Boosting", BOOSTING, trees=420, step=0.025, depth=3, min_leaf=2),
-    ModelSpec("Hist Gradient Boosting", BOOSTING, trees=400, step=0.035, depth=12, min_leaf=20, bins=255),
-    ModelSpec("Extra Trees", FOREST, trees=700, features="0.8", bootstrap=False),
-    ModelSpec("Extra Trees Smoothed", FOREST, trees=350, rows=0.8, bootstrap=False),
+    ModelSpec("Hist Gradient Boosting", HISTOGRAM, trees=400, step=0.035, depth=12, min_leaf=20, bins=255, l2=0.1),
+    ModelSpec("Extra Trees", RANDOMISED, trees=700, features="0.8"),
+    ModelSpec("Extra Trees Smoothed", RANDOMISED, trees=350, rows=0.8),
     ModelSpec("Random Forest", FOREST, trees=500, features="sqrt", min_leaf=2),
     ModelSpec("XGBoost", BOOSTING, trees=500, step=0.025, depth=6, min_leaf=2, rows=0.92, features="0.9"),
     ModelSpec("XGBoost Strong", BOOSTING, trees=650, step=0.02, depth=7, min_leaf=3, rows=0.9, features="0.85"),

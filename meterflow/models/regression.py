@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators.chunks import join_on
 from ..schema import SEED
-from .registry import BOOSTING, ELASTIC_NET, OLS, RIDGE, ModelSpec, full_depth
+from .registry import BOOSTING, ELASTIC_NET, HISTOGRAM, OLS, RANDOMISED, RIDGE, ModelSpec, full_depth
+from .trees import HistogramBoosting, RandomisedTrees
 
 VECTOR = "features"
 _ITERATIONS = 6000
@@ -86,7 +87,7 @@ def penalties(spec: ModelSpec, stats: LabelStats) -> tuple[float, float]:
     return _TRACE * stats.deviation, 0.0
 
 
-def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator:
+def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator | HistogramBoosting | RandomisedTrees:
     common = {"featuresCol": VECTOR, "labelCol": label, "predictionCol": spec.name}
     if spec.kind in (RIDGE, ELASTIC_NET, OLS):
         strength, mix = penalties(spec, stats)
@@ -95,6 +96,15 @@ def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator:
         return LinearRegression(
             regParam=strength, elasticNetParam=mix, maxIter=iterations, tol=1e-9, **common
         )
+    if spec.kind == HISTOGRAM:
+        return HistogramBoosting(
+            label, spec.name, spec.trees, spec.step, full_depth(spec), spec.min_leaf, spec.bins,
+            spec.l1, spec.l2, spec.rows, _share(spec.features),
+        )
+    if spec.kind == RANDOMISED:
+        return RandomisedTrees(
+            label, spec.name, spec.trees, full_depth(spec), spec.min_leaf, spec.rows, _share(spec.features)
+        )
     trees = {
         "maxDepth": full_depth(spec),
         "minInstancesPerNode": spec.min_leaf,
@@ -110,6 +120,10 @@ def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator:
     )
 
 
+def _share(features: str) -> float:
+    return 1.0 if features == "all" else float(features)
+
+
 def fit_all(
     spark: SparkSession, fits: Sequence[Callable[[], Model]], parallelism: int
 ) -> list[Model]:

@@ -18,6 +18,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import SparkSession
 
 from ..models.peak_hour import PeakModel
+from ..models.trees import TreeEnsemble
 from ..plans.training import Forecaster
 
 _LOADERS = {
@@ -28,6 +29,7 @@ _LOADERS = {
         RandomForestRegressionModel,
         OneVsRestModel,
         RandomForestClassificationModel,
+        TreeEnsemble,
     )
 }
 
