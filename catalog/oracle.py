@@ -305,6 +305,101 @@ def one_feature(weight: str) -> str:
     )
 
 
+TREE_FEATURES = [P, "hour", "power_lag_24", "power_roll_mean_6"]
+SEED = 42
+# Rows of the training part with rounded values and whole residuals; one row of what residuals count in.
+TREE_ROWS = f"""{WHOLE}, rounded AS (
+  SELECT datetime, split, round({TARGET} + 1e-9, 6) AS y,
+         {", ".join(f"round({name} + 1e-9, 6) AS x{k}" for k, name in enumerate(TREE_FEATURES))} FROM whole),
+label AS (
+  SELECT count(*) AS n, min(y) AS low, pow(2, floor(log2(1073741824 / (max(y) - min(y))))) AS unit
+  FROM rounded WHERE split <> 'test'),
+base AS (
+  SELECT any_value(unit) AS unit, any_value(low) + sum(CAST(round((y - low) * unit) AS BIGINT))::DOUBLE / any_value(unit) / any_value(n) AS mean
+  FROM rounded, label WHERE split <> 'test')"""
+
+
+def _children(tree: int, level: int) -> str:
+    """The rows' nodes one level down: node 0 has children 1 and 2, and so on without gaps."""
+    return f"""children_{tree}_{level} AS (
+  SELECT node, feature, cut, value_l, value_r, row_number() OVER (ORDER BY node) AS nth FROM best_{tree}_{level}),
+step_{tree}_{level} AS (
+  SELECT r.*, CASE WHEN c.node IS NULL THEN r.value WHEN v >= cut THEN value_r ELSE value_l END AS value1,
+         CASE WHEN c.node IS NULL THEN NULL ELSE {2**(level + 1) - 1 if level else 1} + 2 * (nth - 1) + (v >= cut)::INT END AS node1
+  FROM (SELECT n.*, f.v, f.feature FROM node_{tree}_{level} n JOIN long f USING (datetime)) r
+  LEFT JOIN children_{tree}_{level} c ON r.node = c.node AND r.feature = c.feature
+  QUALIFY row_number() OVER (PARTITION BY datetime ORDER BY c.node IS NULL, r.feature) = 1)"""
+
+
+def _weight(g: str, n: str, l1: float, l2: float) -> str:
+    cut = f"greatest(abs({g} / unit) - {l1}::DOUBLE, 0::DOUBLE)"
+    return f"{cut} * {cut} / ({n} + {l2}::DOUBLE)"
+
+
+def boosted(trees: int, depth: int, bins: int, min_leaf: int, step: float, l1: float, l2: float) -> str:
+    """Boosting on binned features, a level at a time."""
+    ranks = ", ".join(f"{k}::DOUBLE / {bins}" for k in range(1, bins))
+    edges = ", ".join(f"quantile_cont(x{k}, [{ranks}]) AS e{k}, min(x{k}) AS low{k}" for k in range(len(TREE_FEATURES)))
+    long = " UNION ALL ".join(
+        f"SELECT datetime, split, {k} AS feature, len(list_filter(list_distinct(e{k}), lambda e: e > low{k} AND e <= x{k})) AS v FROM rounded, edges"
+        for k in range(len(TREE_FEATURES))
+    )
+    parts = [TREE_ROWS, f"edges AS (SELECT {edges} FROM rounded WHERE split <> 'test')", f"long AS ({long})",
+             "margin_0 AS (SELECT datetime, split, y, mean AS f FROM rounded, base)"]
+    for t in range(trees):
+        parts.append(f"node_{t}_0 AS (SELECT datetime, split, CAST(round((y - f) * unit) AS BIGINT) AS g, 0 AS node, 0::DOUBLE AS value FROM margin_{t}, base)")
+        for level in range(depth):
+            parts.append(f"""sums_{t}_{level} AS (
+  SELECT node, feature, v, sum(g)::BIGINT AS g, count(*) AS n FROM node_{t}_{level} JOIN long USING (datetime)
+  WHERE node_{t}_{level}.split <> 'test' AND node IS NOT NULL GROUP BY ALL),
+sides_{t}_{level} AS (
+  SELECT node, feature, v, sum(g) OVER upto AS gl, sum(n) OVER upto AS nl, sum(g) OVER own AS ga, sum(n) OVER own AS na FROM sums_{t}_{level}
+  WINDOW own AS (PARTITION BY node, feature), upto AS (PARTITION BY node, feature ORDER BY v ROWS UNBOUNDED PRECEDING)),
+gains_{t}_{level} AS (
+  SELECT *, {_weight("gl", "nl", l1, l2)} + {_weight("(ga - gl)", "(na - nl)", l1, l2)} - {_weight("ga", "na", l1, l2)} AS gain
+  FROM sides_{t}_{level}, base WHERE nl >= {min_leaf} AND na - nl >= {min_leaf}),
+best_{t}_{level} AS (
+  SELECT node, feature, v + 1 AS cut,
+         {step} * (sign(gl) * greatest(abs(gl / unit) - {l1}, 0) / (nl + {l2})) AS value_l,
+         {step} * (sign(ga - gl) * greatest(abs((ga - gl) / unit) - {l1}, 0) / (na - nl + {l2})) AS value_r
+  FROM gains_{t}_{level} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, v) = 1),
+{_children(t, level)},
+node_{t}_{level + 1} AS (SELECT datetime, split, g, node1 AS node, value1 AS value FROM step_{t}_{level})""")
+        parts.append(f"margin_{t + 1} AS (SELECT m.datetime, m.split, y, f + value AS f FROM margin_{t} m JOIN node_{t}_{depth} USING (datetime))")
+    return f"WITH {', '.join(parts)} SELECT datetime, {r6('y', 'actual')}, {r6('f', 'predicted')} FROM margin_{trees} WHERE split = 'test'"
+
+
+def randomised(trees: int, depth: int, min_leaf: int) -> str:
+    """Trees whose features each offer one threshold at a random share of their range in a node."""
+    long = " UNION ALL ".join(f"SELECT datetime, split, {k} AS feature, x{k} AS v FROM rounded" for k in range(len(TREE_FEATURES)))
+    parts = [TREE_ROWS, f"long AS ({long})"]
+    for t in range(trees):
+        parts.append(f"node_{t}_0 AS (SELECT datetime, split, CAST(round((y - mean) * unit) AS BIGINT) AS g, 0 AS node, 0::DOUBLE AS value FROM rounded, base)")
+        for level in range(depth):
+            chance = f"('0x' || substr(md5('{SEED}:cut:{t}:' || node || ':' || feature), 1, 8))::BIGINT / 4294967296"
+            parts.append(f"""cuts_{t}_{level} AS (
+  SELECT node, feature, min(v) + {chance} * (max(v) - min(v)) AS cut FROM node_{t}_{level} JOIN long USING (datetime)
+  WHERE node_{t}_{level}.split <> 'test' AND node IS NOT NULL GROUP BY node, feature HAVING min(v) < max(v)),
+sums_{t}_{level} AS (
+  SELECT node, feature, any_value(cut) AS cut, coalesce(sum(g) FILTER (v < cut), 0)::BIGINT AS gl, count(*) FILTER (v < cut) AS nl,
+         coalesce(sum(g) FILTER (v >= cut), 0)::BIGINT AS gr, count(*) FILTER (v >= cut) AS nr
+  FROM node_{t}_{level} n JOIN long USING (datetime) JOIN cuts_{t}_{level} USING (node, feature) WHERE n.split <> 'test' GROUP BY node, feature),
+gains_{t}_{level} AS (
+  SELECT *, gl::DOUBLE * gl / nl + gr::DOUBLE * gr / nr - (gl + gr)::DOUBLE * (gl + gr)::DOUBLE / (nl + nr) AS gain
+  FROM sums_{t}_{level} WHERE nl >= {min_leaf} AND nr >= {min_leaf}),
+best_{t}_{level} AS (
+  SELECT node, feature, cut, gl / nl / unit AS value_l, gr / nr / unit AS value_r FROM gains_{t}_{level}, base WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature) = 1),
+{_children(t, level)},
+node_{t}_{level + 1} AS (SELECT datetime, split, g, node1 AS node, value1 AS value FROM step_{t}_{level})""")
+    parts.append("total AS (" + " UNION ALL ".join(f"SELECT datetime, value FROM node_{t}_{depth}" for t in range(trees)) + ")")
+    return (
+        f"WITH {', '.join(parts)} SELECT r.datetime, {r6('any_value(y)', 'actual')}, {r6('any_value(mean) + avg(value)', 'predicted')} "
+        f"FROM rounded r JOIN total USING (datetime), base WHERE split = 'test' GROUP BY r.datetime"
+    )
+
+
 def gram() -> str:
     names = list(NAIVE)[:4]
     terms = [
@@ -533,6 +628,10 @@ votes AS (
 SELECT user_id, CAST(label AS INTEGER) AS label FROM votes
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, label) = 1""",
         "standardize": f"WITH {ONE.wide(compact=True)} SELECT datetime, {scaled} FROM frame",
+        "boosted_trees_depth2": boosted(2, 2, bins=8, min_leaf=5, step=0.5, l1=0.5, l2=0.1),
+        "boosted_stumps": boosted(3, 1, bins=16, min_leaf=5, step=0.5, l1=0.0, l2=0.1),
+        "random_tree_depth2": randomised(1, 2, min_leaf=1),
+        "random_trees_depth1": randomised(3, 1, min_leaf=5),
         "ols_one_feature": one_feature("zy / n"),
         "ridge_one_feature": one_feature("zy / (n + 1.0)"),
         "elastic_net_one_feature": one_feature(

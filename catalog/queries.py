@@ -28,6 +28,7 @@ from meterflow.operators import ensemble, features, metrics, peaks, splits
 from meterflow.operators.daily import daily_peak_hour, daily_stats
 from meterflow.operators.resample import required_readings, type_readings
 from meterflow.plans.forecasting import insight, predict_next_6_hours, predict_what_if
+from meterflow.models.trees import HistogramBoosting, RandomisedTrees
 from meterflow.plans.frames import build_daily_peak_frame, build_model_frame, preprocess_hourly
 from meterflow.plans.jobs import count_stages, train_from_hourly
 from meterflow.schema import (
@@ -331,6 +332,27 @@ ONE_FEATURE = {
 }
 
 
+TREE_FEATURES = [POWER, "hour", "power_lag_24", "power_roll_mean_6"]
+
+
+def shallow_trees(spark, sf, model):
+    """Trees of two levels on rounded features, so that SQL can grow the same ones."""
+    rounded = [F.round(F.col(name) + 1e-9, 6).alias(name) for name in (*TREE_FEATURES, TARGET)]
+    table = split_frame(spark, sf).select(DATETIME, splits.SPLIT, *rounded)
+    vectors = assemble(table, TREE_FEATURES, [DATETIME, splits.SPLIT, F.col(TARGET).alias("actual")])
+    fitted = model.fit(vectors.filter(F.col(splits.SPLIT) != splits.TEST))
+    scored = fitted.transform(vectors.filter(F.col(splits.SPLIT) == splits.TEST))
+    return scored.select(DATETIME, "actual", "predicted")
+
+
+SHALLOW = {
+    "boosted_trees_depth2": HistogramBoosting("actual", "predicted", trees=2, step=0.5, depth=2, min_leaf=5, bins=8, l1=0.5, l2=0.1),
+    "boosted_stumps": HistogramBoosting("actual", "predicted", trees=3, step=0.5, depth=1, min_leaf=5, bins=16, l2=0.1),
+    "random_tree_depth2": RandomisedTrees("actual", "predicted", trees=1, depth=2),
+    "random_trees_depth1": RandomisedTrees("actual", "predicted", trees=3, depth=1, min_leaf=5),
+}
+
+
 def classify(spark, sf, spec: ModelSpec):
     days = splits.daily_split(build_daily_peak_frame(hourly(spark, sf, BY_TYPE), BY_TYPE), BY_TYPE)
     names = [c for c in days.columns if c not in (*BY_TYPE, DAY, PEAK_HOUR, splits.SPLIT)]
@@ -442,6 +464,7 @@ def build() -> dict[str, Query]:
     exact |= {
         name: partial(regress, spec=spec, names=[POWER]) for name, spec in ONE_FEATURE.items()
     }
+    exact |= {name: partial(shallow_trees, model=model) for name, model in SHALLOW.items()}
     fitted: dict[str, Query] = {
         f"model_{_slug(spec.name)}": partial(regress, spec=spec) for spec in regressors("balanced")
     }

@@ -140,7 +140,7 @@ def _label(rows: DataFrame, label: str) -> _Label:
     ).first()
     if not found.n:
         raise ValueError("no rows to grow trees on")
-    spread = max(found.high - found.low, 1e-300)
+    spread = max(found.high - found.low, 1e-200) if found.high > found.low else 1.0
     unit = 2.0 ** math.floor(math.log2(UNITS / spread))
     total = rows.agg(F.sum(F.round((F.col(label) - found.low) * unit).cast("long")).alias("s")).first().s
     return _Label(found.n, found.low + total / unit / found.n, unit)
