@@ -19,9 +19,11 @@ centre does not hold together costs its outsiders times its size in bit counts,
 and no link that joins different texts is lost.
 
 Null and empty texts, and texts without words, have the empty set and link with
-nothing. Rows without a key are kept and link with nothing. Repeated rows of
-one key get one result each. Only the named columns are read. An empty table
-gives an empty result.
+nothing. Rows without a key are kept and link with nothing. Rows of one key are
+told apart by a number of their own: each is judged by its own text and gets
+one result, and of equal rows one is kept. Texts are read whole, a block of
+about two megabytes or one longer text at a time. Only the named columns are
+read; others may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from meterflow.session import stage, stage_folder
 
-from .common import as_bytes, blocks
+from .common import as_bytes, blocks, salted_join
 from .components import connected_components
 
 SHINGLE = 5
@@ -125,8 +127,8 @@ def sketches(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return prints.view(np.int64), bands.view(np.int64), packed.view(np.int64)
 
 
-def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, n_shingles, print1, print2, bands, signature`` of every row."""
+def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", also: str | None = None) -> DataFrame:
+    """``id, n_shingles, print1, print2, bands, signature`` of every row, and the column ``also`` as ``_key``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "_text"):
@@ -139,14 +141,16 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     pa.array(np.ascontiguousarray(prints[:, 0])), pa.array(np.ascontiguousarray(prints[:, 1])),
                     pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(long_list),
                     pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), LONGS).cast(long_list),
+                    block.column("_key"),
                 ],
-                names=["id", "n_shingles", "print1", "print2", "bands", "signature"],
+                names=["id", "n_shingles", "print1", "print2", "bands", "signature", "_key"],
             )
 
-    chosen = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("_text"))
-    return chosen.mapInArrow(
-        run, "id long, n_shingles long, print1 long, print2 long, bands array<long>, signature array<long>"
+    chosen = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("_text"), F.col(also or key).cast("long").alias("_key"))
+    found = chosen.mapInArrow(
+        run, "id long, n_shingles long, print1 long, print2 long, bands array<long>, signature array<long>, _key long"
     )
+    return found if also else found.drop("_key")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -280,17 +284,25 @@ def _rest_of_bands(spots: DataFrame, components: DataFrame, reps: DataFrame, tex
     return full.groupBy("band", "i", "j").applyInArrow(_links_in_block(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """``key, n_shingles, component_id, kept`` of every row."""
-    folder = stage_folder(docs.sparkSession)
-    marks = stage(sketch(docs, key, text), folder, "marks")
-    plain = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("_text")).filter("id IS NOT NULL")
+def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, _key, _text``: each row with a number of its own, as rows may share a key; no number without a key."""
+    number = F.when(docs[key].isNotNull(), F.monotonically_increasing_id())
+    return docs.select(number.alias("id"), docs[key].cast("long").alias("_key"), docs[text].alias("_text"))
+
+
+def _grouped(rows: DataFrame, folder: str, percent: int) -> DataFrame:
+    """``id, _key, n_shingles, least`` of every row of :func:`_numbered`, written before.
+
+    ``least`` is the smallest key of the row's group and the number of its first row.
+    """
+    marks = stage(sketch(rows, "id", "_text", "_key"), folder, "marks")
+    plain = rows.select("id", "_text").filter("id IS NOT NULL")
     same = ["n_shingles", "print1", "print2"]
     classes = marks.filter("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("rep"))
     # Hot classes meet in this join; both sides are shuffled for it, so the planner splits their rows.
     members = stage(
-        marks.select("id", *same).join(classes, same, "left").select(
-            "id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")
+        marks.select("id", "_key", *same).join(classes, same, "left").select(
+            "id", "_key", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")
         ),
         folder, "members",
     )
@@ -318,15 +330,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     found = connected_components(links, f"{folder}/components0").withColumnRenamed("node", "id")
     more = stage(_rest_of_bands(spots, found, reps, texts, percent), folder, "links1")
     found = connected_components(links.union(more), f"{folder}/components1").withColumnRenamed("node", "rep")
-    done = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    return done.select(
-        F.col("id").alias(key), "n_shingles", F.col("component").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+    done = salted_join(members, found.withColumnRenamed("component", "_component"), ["rep"], F.xxhash64("id"))
+    done = stage(done.select("id", "_key", "n_shingles", F.coalesce("_component", "rep").alias("component")), folder, "done")
+    least = done.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("_key", "id")).alias("least"))
+    return salted_join(done, least, ["component"], F.xxhash64("id")).select("id", "_key", "n_shingles", "least")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """``key, n_shingles, component_id, kept`` of every row."""
+    folder = stage_folder(docs.sparkSession)
+    found = _grouped(stage(_numbered(docs, key, text), folder, "rows"), folder, percent)
+    return found.select(
+        F.col("_key").alias(key), "n_shingles", F.col("least._key").alias("component_id"),
+        F.coalesce(F.col("_key") == F.col("least._key"), F.lit(True)).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """One row of each group, and the rows without a key."""
-    kept = near_duplicates(docs, key, text, percent).filter("kept").select(F.col(key).alias("_kept"))
-    chosen = docs.join(kept.filter("_kept IS NOT NULL").distinct(), docs[key] == F.col("_kept"), "left_semi")
-    return chosen.dropDuplicates([key]).union(docs.filter(docs[key].isNull()))
+    """One row of each group, that of the smallest key, and the rows without a key."""
+    folder = stage_folder(docs.sparkSession)
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), folder, "documents")
+    numbered = rows.select(
+        F.when(F.col(key).isNotNull(), F.col(number)).alias("id"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")
+    )
+    first = _grouped(numbered, folder, percent).filter("id = least.id").select(F.col("id").alias(number))
+    chosen = rows.join(first, number, "left_semi").select(*docs.columns)
+    return chosen.union(rows.filter(F.col(key).isNull()).select(*docs.columns))

@@ -126,3 +126,23 @@ def test_components(spark):
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == {i: c for i, c in parent.items() if any(i in e and e[0] != e[1] for e in edges)}
     assert connected_components(frame.limit(0), stage_folder(spark)).count() == 0
+
+
+def test_rows_of_one_key_are_told_apart(spark):
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [
+        (1, "one two three four five six"), (1, "alpha beta gamma delta epsilon zeta"), (2, "alpha beta gamma delta epsilon zeta"),
+        (3, near), (4, near + " end"), (4, "something else that has six words"), (5, None), (5, ""), (6, "x"), (6, "x"), (None, near),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS _row", "3 AS least", "4 AS rep", "5 AS _key")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == sorted([
+        (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 96, 3, True), (4, 97, 3, False), (4, 2, 4, True),
+        (5, 0, 5, True), (5, 0, 5, True), (6, 1, 6, True), (6, 1, 6, True), (0, 96, 0, True),
+    ])
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    texts = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert texts == sorted([
+        (1, rows[0][1]), (1, rows[1][1]), (3, near), (4, rows[5][1]), (5, ""), (5, ""), (6, "x"), (0, near),
+    ])
