@@ -9,8 +9,9 @@ are grouped aggregations over every document.
 
 Every declared value of a text that is not empty is a possible language. Its
 trigram model is fitted on about ``ROWS_PER_LANGUAGE`` of its documents, chosen
-by a hash of key and text, or on all if it has fewer. Models are held in memory, half
-a megabyte a language on the driver.
+by a hash of key and text, or on all if it has fewer. Models are held in memory, a
+quarter of a megabyte per language on the driver and in each Python worker; the plan does
+not grow with their number. A text is read in whole, at about 190 bytes of memory a letter.
 
 Texts without letters, null and empty ones have no language and are rejected,
 as are texts whose best language stays below ``LEAST_BELIEF``. A null
@@ -180,36 +181,71 @@ def _domain(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
-def _shares(counts: DataFrame, by: list[str], languages: list[str]) -> DataFrame:
-    """A row per key with the counts of each language."""
-    return counts.groupBy(*by).agg(
-        *(F.sum(F.when(F.col(LEARNED) == lang, F.col("_n")).otherwise(0)).alias(f"_n{i}") for i, lang in enumerate(languages))
-    )
+def _numbered(counts: DataFrame, languages: list[str]) -> DataFrame:
+    """The counts with the language's number ``_at``."""
+    names = F.array(*map(F.lit, languages))
+    return counts.withColumn("_at", (F.array_position(names, F.col(LEARNED)) - 1).cast("int"))
+
+
+def _shares(counts: DataFrame, by: str) -> DataFrame:
+    """A row per value of ``by`` with its documents, in all and by number of the language."""
+    single = counts.groupBy(by, "_at").agg(F.sum("_n").alias("_n"))
+    pairs = F.collect_list(F.struct("_at", F.col("_n").cast("double").alias("_n")))  # at most one per language
+    return single.groupBy(by).agg(F.map_from_entries(pairs).alias("_by"), F.sum("_n").cast("double").alias("_all"))
+
+
+def _each(n_languages: int, of_language) -> Column:
+    """An array of ``of_language(number)`` for every language; the plan stays as small for many of them."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n_languages - 1)), of_language)
+
+
+def _count(by: str, number: Column) -> Column:
+    return F.coalesce(F.try_element_at(by, number), F.lit(0.0))
+
+
+def _per_language(counts: DataFrame, n_languages: int) -> list[float]:
+    """Documents of each language."""
+    found = [0.0] * n_languages
+    for row in counts.groupBy("_at").agg(F.sum("_n").alias("_n")).collect():  # a row per language
+        found[row["_at"]] = float(row["_n"])
+    return found
+
+
+def language_shares(counts: DataFrame, languages: list[str]) -> DataFrame:
+    """One row with the share of each language among all documents, one more of each counted."""
+    own = _per_language(_numbered(counts, languages), len(languages))
+    shares = [(n + 1.0) / (sum(own) + len(own)) for n in own]
+    names = ", ".join(f"_p{i} double" for i in range(len(own)))
+    return counts.sparkSession.createDataFrame([tuple(shares)], names)
 
 
 def host_priors(counts: DataFrame, total: DataFrame, languages: list[str]) -> DataFrame:
-    """``_host, _prior``: log-probabilities of each language, hosts smoothed by domains, domains by all."""
-    order = range(len(languages))
-    by_host = _shares(counts.filter("_host IS NOT NULL"), ["_host"], languages)
-    hosts = by_host.withColumn("_domain", _domain(F.col("_host")))
-    domains = hosts.groupBy("_domain").agg(*(F.sum(f"_n{i}").alias(f"_d{i}") for i in order))
-    all_d, all_n = (sum((F.col(f"{x}{i}") for i in order), F.lit(0.0)) for x in ("_d", "_n"))
-    domains = domains.crossJoin(F.broadcast(total)).select(  # total is one row
-        "_domain", *((F.col(f"_d{i}") + HOST_WEIGHT * F.col(f"_p{i}")).alias(f"_e{i}") for i in order), (all_d + HOST_WEIGHT).alias("_e")
-    )
-    prior = [F.log((F.col(f"_n{i}") + HOST_WEIGHT * F.col(f"_e{i}") / F.col("_e")) / (all_n + HOST_WEIGHT)) for i in order]
+    """``_host, _prior``: log-probabilities of each language, hosts smoothed by domains, domains by all (``total``, one row)."""
+    n_languages, total = len(languages), F.array(*map(F.lit, total.first()))
+    known = _numbered(counts, languages).filter("_host IS NOT NULL").withColumn("_domain", _domain(F.col("_host")))
+    domains = _shares(known, "_domain").withColumnsRenamed({"_by": "_of_domain", "_all": "_all_domain"})
+    hosts = _shares(known, "_host").withColumn("_domain", _domain(F.col("_host")))
     joined = salted_join(hosts, domains, ["_domain"], F.xxhash64("_host"))
-    return joined.select("_host", F.array(*prior).alias("_prior"))
+
+    def prior(i: Column) -> Column:
+        expected = (_count("_of_domain", i) + HOST_WEIGHT * F.get(total, i)) / (F.col("_all_domain") + HOST_WEIGHT)
+        return F.log((_count("_by", i) + HOST_WEIGHT * expected) / (F.col("_all") + HOST_WEIGHT))
+
+    return joined.select("_host", _each(n_languages, prior).alias("_prior"))
 
 
 def value_likelihoods(counts: DataFrame, column: str, languages: list[str]) -> DataFrame:
     """``column, _like``: log-probability of a declared value given each language, up to a constant."""
-    order = range(len(languages))
-    known = counts.filter(F.col(column).isNotNull())
-    values = _shares(known, [column], languages)
-    sums = values.agg(*(F.sum(f"_n{i}").alias(f"_t{i}") for i in order), F.count(F.lit(1)).alias("_values"))
-    like = [F.log((F.col(f"_n{i}") + VALUE_WEIGHT / F.col("_values")) / (F.col(f"_t{i}") + VALUE_WEIGHT)) for i in order]
-    return values.crossJoin(F.broadcast(sums)).select(column, F.array(*like).alias(f"{column}_like"))  # sums is one row
+    n_languages = len(languages)
+    known = _numbered(counts, languages).filter(F.col(column).isNotNull())
+    totals = F.array(*map(F.lit, _per_language(known, n_languages)))
+    values = _shares(known, column)
+    spare = F.lit(VALUE_WEIGHT) / max(known.agg(F.count_distinct(column)).first()[0], 1)
+
+    def like(i: Column) -> Column:
+        return F.log((_count("_by", i) + spare) / (F.get(totals, i) + VALUE_WEIGHT))
+
+    return values.select(column, _each(n_languages, like).alias(f"{column}_like"))
 
 
 def identify(
@@ -233,11 +269,9 @@ def identify(
         .groupBy("_host", "_declared", "_suffix", LEARNED)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    sums = [F.sum(F.when(F.col(LEARNED) == lang, F.col("_n")).otherwise(0)) + 1.0 for lang in languages]
-    every = F.coalesce(F.sum("_n"), F.lit(0)) + float(len(languages))
-    total = counts.agg(*((F.coalesce(s, F.lit(1.0)) / every).alias(f"_p{i}") for i, s in enumerate(sums)))
+    counts = stage(counts, stage_folder(docs.sparkSession), "counts")
     spread = F.xxhash64("_key", "_letters")
-    fused = salted_join(scored, host_priors(counts, total, languages), ["_host"], spread)
+    fused = salted_join(scored, host_priors(counts, language_shares(counts, languages), languages), ["_host"], spread)
     parts = ["_logs", "_prior"]
     for column in ("_declared", "_suffix"):
         if columns[column]:
@@ -262,19 +296,21 @@ def with_addresses(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
     Adds ``_markup, _tld, _from``: the page's declared language, the last label of its host, and its
     host; for a document without a page its own ``lang`` and ``source``. A document's first address
-    in alphabetic order counts.
+    in alphabetic order counts. Columns of these three names are replaced.
     """
     found = pages.select(
-        F.regexp_extract("url", r"^[^?#]*/([0-9]{1,18})(?:[/.?#]|$)", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract("url", r"^[^?#]*/([0-9]{1,18})(?:[/.?#]|$)", 1).cast("bigint").alias("_id"),
         F.struct(
             F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1)).alias("host"),
             F.nullif(F.regexp_extract("html", r'<html[^>]*\slang="([A-Za-z-]+)"', 1), F.lit("")).alias("markup"),
         ).alias("page"),
-    ).filter("doc_id IS NOT NULL")
-    first = found.groupBy("doc_id").agg(F.min("page").alias("_page"))
-    return docs.join(first, "doc_id", "left").select(
-        *(docs[c] for c in docs.columns),
-        F.coalesce("_page.markup", "lang").alias("_markup"),
-        F.substring_index(F.col("_page.host"), ".", -1).alias("_tld"),
-        F.coalesce("_page.host", "source").alias("_from"),
+    ).filter("_id IS NOT NULL")
+    first = found.groupBy("_id").agg(F.min("page").alias("_page")).alias("first")
+    named = docs.drop("_markup", "_tld", "_from").alias("docs")  # the evidence takes these names
+    joined = named.join(first, F.col("docs.doc_id") == F.col("first._id"), "left")
+    return joined.select(
+        "docs.*",
+        F.coalesce("first._page.markup", "docs.lang").alias("_markup"),
+        F.substring_index(F.col("first._page.host"), ".", -1).alias("_tld"),
+        F.coalesce("first._page.host", "docs.source").alias("_from"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import math
 from collections import Counter, defaultdict
 
@@ -85,3 +87,24 @@ def test_rare_and_many_languages(spark, monkeypatch):
     got = langid.identify(docs).filter("doc_id < 200000").groupBy("doc_id").agg(F.first("lang_id").alias("found")).collect()
     truth = {row[0]: row[2] for row in rows}
     assert all(r.found == truth[r.doc_id] for r in got) and len(got) == 2210
+
+
+def test_four_hundred_declared_values(spark):
+    """The plan must not grow with the number of languages."""
+    rng = random.Random(4)
+    sounds = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(6)] for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(sounds[i % 400], k=30)), f"l{i % 400:03}", f"h{i % 7}.com") for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = langid.identify(docs).collect()
+    assert len(got) == 1600
+    assert sum(r.lang_id == f"l{r.doc_id % 400:03}" for r in got) > 1580
+
+
+def test_evidence_columns_may_exist_already(spark):
+    rows = [(1, "the cat", "en", "a.com"), (2, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr(
+        "*", "7 AS _markup", "8 AS _tld", "9 AS _from", "10 AS _id", "11 AS page", "12 AS url", "13 AS _page")
+    pages = spark.createDataFrame([("http://x.fr/1", "<html lang=\"fr\">")], "url string, html string").selectExpr("*", "1 AS doc_id", "2 AS lang")
+    got = {r.doc_id: r for r in langid.with_addresses(docs, pages).collect()}
+    assert (got[1]["_markup"], got[1]["_tld"], got[1]["_from"]) == ("fr", "fr", "x.fr")
+    assert (got[2]["_markup"], got[2]["_tld"], got[2]["_from"]) == (None, None, None)
