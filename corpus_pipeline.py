@@ -2,6 +2,12 @@
 
 Every stage reads the documents the stage before it wrote. The first four return
 the columns of ``documents``; the last returns a row of digests per document.
+
+Further columns of the input, whatever their names, are left out by the first
+stage. Null and empty texts and texts without letters go there; a null language
+or source is no evidence. Rows that share a key are judged by their own texts as
+near duplicates, and each different text stays. Texts are used whole. An empty
+table gives no row.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one key, and rows without any, stay or go together: they stay if one of them is kept.
     """
     importable(spark)
+    docs = docs.select(*COLUMNS)
     found = langid.identify(docs).filter("kept").select(F.col("doc_id").alias("_id"), "lang_id")
     found = found.dropDuplicates(["_id"])
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]))

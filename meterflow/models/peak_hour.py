@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -44,11 +45,14 @@ def fit_peak_models(
 
 def _fit_or_none(train: DataFrame, spec: ModelSpec, parallelism: int) -> PeakModel:
     try:
+        if train.isEmpty():
+            raise ValueError("no days to learn from")
         if spec.kind == BOOSTING:
             return _fit_one_vs_rest(train, spec, parallelism)
         return PeakModel(spec.name, _forest(spec).fit(train))
-    except Exception:
-        # Too little data for this model: it votes evenly and with no weight.
+    except (ValueError, IllegalArgumentException):
+        # Too little data for this model: it votes evenly and with no weight. Lost executors, full
+        # memory and the like are raised.
         return PeakModel(spec.name, None)
 
 
