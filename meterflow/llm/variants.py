@@ -53,7 +53,7 @@ END = 0  # the letter behind a word's last
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(BASE), -1, 2**64))
 AHEAD = 4  # letters read at once behind an edit
-STEPS = "id long, depth int, node long, letter int, here long, ahead long, child long, far long, tail long, far_tail long"
+STEPS = "id long, depth int, node long, letter int, here long, ahead long, child long, tail int, far_tail int"
 
 
 def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,7 +86,7 @@ def path_steps(words: DataFrame) -> DataFrame:
 
     ``id, depth, node, letter, child``: the step itself. ``here`` and ``ahead`` are hashes of the next
     ``AHEAD`` letters from ``letter`` on and behind it (up to the end; ``ahead`` is null behind the end),
-    ``far`` is the node behind ``ahead``, ``tail`` and ``far_tail`` are hashes of all behind ``here`` and ``ahead``.
+    ``tail`` and ``far_tail`` are short hashes of all behind ``here`` and ``ahead``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +107,8 @@ def path_steps(words: DataFrame) -> DataFrame:
                 before = np.concatenate([np.zeros(1, np.uint64), sums])[first][owner]
                 down = _mix(sums - before + depth.astype(np.uint64) + np.uint64(1))
                 last = np.repeat(first + lengths - 1, lengths)
-                rest = (sums[last] - sums) * backs[depth + 1]  # of all letters behind each
+                rest = _mix((sums[last] - sums) * backs[depth + 1])  # of all letters behind each
+                rest = (rest >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 own = np.arange(len(letters))
                 stop = [np.minimum(own + k, last) for k in (AHEAD - 1, AHEAD)]  # the last letter read
                 here = _mix((sums[stop[0]] - sums + _mix(letters.astype(np.uint64) + np.uint64(1)) * powers[depth]) * backs[depth])
@@ -123,8 +124,8 @@ def path_steps(words: DataFrame) -> DataFrame:
                         "id": pa.array(ids[some]), "depth": pa.array(depth[some].astype(np.int32)),
                         "node": pa.array(node[some].view(np.int64)), "letter": pa.array(letters[some].astype(np.int32)),
                         "here": pa.array(here[some].view(np.int64)), "ahead": pa.array(ahead[some].view(np.int64), mask=ends[some]),
-                        "child": pa.array(down[some].view(np.int64)), "far": pa.array(down[stop[1]][some].view(np.int64)),
-                        "tail": pa.array(rest[stop[0]][some].view(np.int64)), "far_tail": pa.array(rest[stop[1]][some].view(np.int64)),
+                        "child": pa.array(down[some].view(np.int64)),
+                        "tail": pa.array(rest[stop[0]][some]), "far_tail": pa.array(rest[stop[1]][some]),
                     })
 
     return words.select("id", "word").mapInArrow(run, STEPS)
@@ -150,31 +151,37 @@ def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame) -> Da
 
     ``same`` letters lie before the edit, which takes ``gone`` letters of the word and one of the other's.
     """
-    branches = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_ways"), F.sum("n").alias("_crowd")).filter("_ways > 1")
-    branches = branches.select("node", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
+    branches = edges.groupBy("node").agg(
+        F.count(F.lit(1)).alias("_ways"), F.sum("n").alias("_crowd"), F.max("letter").alias("_last")
+    ).filter("_ways > 1")
+    branches = branches.select("node", "_last", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
     # The root and other short prefixes are on very many paths.
     own = salted_join(steps.drop("child"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
-    turns = own.filter(F.col("letter") != END).groupBy("node", F.col("letter").alias("turn"), F.col("ahead").alias("next")).agg(
-        F.min("far").alias("far"), F.min("depth").alias("depth"), F.count(F.lit(1)).alias("n"), F.min("id").alias("one"),
-        F.min("far_tail").alias("left"), F.min("_parts").alias("_parts"),
+    turns = own.filter(F.col("letter") != END).groupBy(
+        F.xxhash64("node", "ahead").alias("wanted"), F.col("letter").alias("turn"), "depth"
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("one"), F.min("far_tail").alias("left"), F.min("_parts").alias("_parts")
     ).join(chains, ["one", "n"], "left")
     skip = F.coalesce(F.col("bottom_depth") - F.col("depth") - 1 - AHEAD, F.lit(0))
     turns = turns.select(
-        "node", "turn", "next", "n", "one", "left", F.coalesce("bottom", "far").alias("bottom"), skip.alias("skip"),
+        "wanted", "turn", "n", "one", "left", "bottom", skip.alias("skip"),
         F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"),
     )
-    replaced = F.struct(F.col("ahead").alias("next"), F.col("far_tail").alias("rest"), F.lit(1).alias("gone"))
-    inserted = F.struct(F.col("here").alias("next"), F.col("tail").alias("rest"), F.lit(0).alias("gone"))
+    # Of two replaced letters the smaller one asks, so the last letter of a node has nothing to ask.
+    replaced = F.when(F.col("letter") < F.col("_last"), F.struct(
+        F.xxhash64("node", "ahead").alias("wanted"), F.col("far_tail").alias("rest"), F.lit(1).alias("gone")
+    ))
+    inserted = F.struct(F.xxhash64("node", "here").alias("wanted"), F.col("tail").alias("rest"), F.lit(0).alias("gone"))
+    replaced = F.when(F.col("letter") != END, replaced)  # behind the end there is nothing to replace
     asked = own.select(
-        "id", "node", "letter", "depth", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_parts")).cast("int").alias("_part"),
-        F.explode(F.array(replaced, inserted)).alias("_edit"),
-    ).select("id", "node", "letter", "depth", "_part", "_edit.*").filter("next IS NOT NULL")
-    met = asked.join(turns, ["node", "next", "_part"])
+        "id", "letter", "depth", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_parts")).cast("int").alias("_part"),
+        F.explode(F.array_compact(F.array(replaced, inserted))).alias("_edit"),
+    ).select("id", "letter", F.col("depth").alias("same"), "_part", "_edit.*")
+    met = asked.join(turns, ["wanted", "_part"])
     met = met.filter(F.when(F.col("gone") == 1, F.col("turn") > F.col("letter")).otherwise(F.col("turn") != F.col("letter")))
     met = met.filter("n > 1 OR left = rest")  # a single word is below: its letters must be the rest
     return met.select(
-        "id", (F.col("depth") + F.col("gone") + AHEAD + F.col("skip")).alias("at"), F.col("bottom").alias("node"),
-        "n", "one", F.col("depth").alias("same"), "gone",
+        "id", (F.col("same") + F.col("gone") + AHEAD + F.col("skip")).alias("at"), F.col("bottom").alias("node"), "n", "one", "same", "gone",
     )
 
 
