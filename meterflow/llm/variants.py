@@ -146,7 +146,13 @@ def edge_table(steps: DataFrame) -> DataFrame:
     )
 
 
-def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame) -> DataFrame:
+def with_bottom(rows: DataFrame, chains: DataFrame) -> DataFrame:
+    """The rows with ``bottom`` and ``bottom_depth`` of their words; above a single word there is nothing to look up."""
+    single = rows.filter("n = 1").select("*", F.lit(None).cast("long").alias("bottom"), F.lit(None).cast("int").alias("bottom_depth"))
+    return rows.filter("n > 1").join(chains, ["one", "n"], "left").select(*rows.columns, "bottom", "bottom_depth").union(single)
+
+
+def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame, folder: str) -> DataFrame:
     """``id, at, node, n, one, same, gone``: the states of one edit, ``AHEAD`` letters behind it or at the next branch below.
 
     ``same`` letters lie before the edit, which takes ``gone`` letters of the word and one of the other's.
@@ -157,11 +163,13 @@ def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame) -> Da
     branches = branches.select("node", "_last", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
     # The root and other short prefixes are on very many paths.
     own = salted_join(steps.drop("child"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
+    own = stage(own, folder, "own")
     turns = own.filter(F.col("letter") != END).groupBy(
         F.xxhash64("node", "ahead").alias("wanted"), F.col("letter").alias("turn"), "depth"
     ).agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("one"), F.min("far_tail").alias("left"), F.min("_parts").alias("_parts")
-    ).join(chains, ["one", "n"], "left")
+    )
+    turns = with_bottom(turns, chains)
     skip = F.coalesce(F.col("bottom_depth") - F.col("depth") - 1 - AHEAD, F.lit(0))
     turns = turns.select(
         "wanted", "turn", "n", "one", "left", "bottom", skip.alias("skip"),
@@ -190,7 +198,7 @@ def near_pairs(words: DataFrame, folder: str) -> DataFrame:
     steps = stage(path_steps(words), folder, "steps")
     edges = stage(edge_table(steps), folder, "edges")
     chains = stage(chains_of(edges), folder, "chains")
-    states = stage(one_edit_states(steps, edges, chains), folder, "states0")
+    states = stage(one_edit_states(steps, edges, chains, folder), folder, "states0")
     pair = ["id", "one", "same", "gone"]
     found = [states.filter("n = 1").select(*pair)]
     spelled = words.select("id", "word")
@@ -199,7 +207,9 @@ def near_pairs(words: DataFrame, folder: str) -> DataFrame:
     )
     level = 0
     going = stage(going, folder, "going0")
-    follow = edges.join(chains, ["one", "n"], "left").select(
+    # States wait at the bottoms only.
+    waited = edges.join(chains.select(F.col("bottom").alias("node")), "node", "left_semi")
+    follow = with_bottom(waited, chains).select(
         "node", "letter", F.coalesce("bottom", "child").alias("bottom"), "n", "one",
         F.coalesce(F.col("bottom_depth") - F.col("depth") - 1, F.lit(0)).alias("skip"),
     )
