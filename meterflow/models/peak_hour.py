@@ -50,9 +50,9 @@ def _fit_or_none(train: DataFrame, spec: ModelSpec, parallelism: int) -> PeakMod
         if spec.kind == BOOSTING:
             return _fit_one_vs_rest(train, spec, parallelism)
         return PeakModel(spec.name, _forest(spec).fit(train))
-    except (ValueError, IllegalArgumentException):
-        # Too little data for this model: it votes evenly and with no weight. Lost executors, full
-        # memory and the like are raised.
+    except (ValueError, RuntimeError, IllegalArgumentException):
+        # Too little data for this model, or its fit gave up: it votes evenly and with no weight. What
+        # Spark reports of lost executors, full memory and the like is none of these and is raised.
         return PeakModel(spec.name, None)
 
 
