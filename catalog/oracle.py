@@ -306,6 +306,7 @@ def one_feature(weight: str) -> str:
 
 
 TREE_FEATURES = [P, "hour", "power_lag_24", "power_roll_mean_6"]
+DAY_FEATURES = ["day_mean", "day_max", "prev_day_max", "is_weekend"]
 SEED = 42
 # Rows of the training part with rounded values and whole residuals; one row of what residuals count in.
 TREE_ROWS = f"""{WHOLE}, rounded AS (
@@ -400,6 +401,57 @@ node_{t}_{level + 1} AS (SELECT datetime, split, g, node1 AS node, value1 AS val
     )
 
 
+def softmax_stumps(rounds: int, bins: int, min_leaf: int, step: float) -> str:
+    """Boosted stumps on the multinomial log-loss, one per class and round."""
+    n = range(len(DAY_FEATURES))
+    ranks = ", ".join(f"{k}::DOUBLE / {bins}" for k in range(1, bins))
+    edges = ", ".join(f"quantile_cont(x{k}, [{ranks}]) AS e{k}, min(x{k}) AS low{k}" for k in n)
+    long = " UNION ALL ".join(
+        f"SELECT user_id, date, split, {k} AS feature, len(list_filter(list_distinct(e{k}), lambda e: e > low{k} AND e <= x{k})) AS v FROM rounded, edges"
+        for k in n
+    )
+    parts = [f"""{USER.days()}, rounded AS (
+  SELECT user_id, date, CAST(peak_hour AS INTEGER) AS y, CASE WHEN row_number() {USER.over('', 'date')} - 1
+         < floor(count(*) {USER.all()} * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split,
+         {", ".join(f"round({name} + 1e-9, 6)::DOUBLE AS x{k}" for k, name in enumerate(DAY_FEATURES))} FROM days),
+prior AS (
+  SELECT y AS class, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS f, count(*) OVER () AS classes
+  FROM rounded WHERE split = 'train' GROUP BY y)""",
+        f"edges AS (SELECT {edges} FROM rounded WHERE split = 'train')", f"long AS ({long})",
+        "margin_0 AS (SELECT user_id, date, split, y, class, classes, f FROM rounded, prior)"]
+    for t in range(rounds + 1):
+        parts.append(f"""shifted_{t} AS (SELECT *, exp(f - max(f) OVER (PARTITION BY user_id, date)) AS e FROM margin_{t}),
+chance_{t} AS (SELECT *, e / sum(e) OVER (PARTITION BY user_id, date) AS p FROM shifted_{t})""")
+        if t == rounds:
+            break
+        parts.append(f"""slope_{t} AS (
+  SELECT *, CAST(round(((y = class)::INT - p) * 1073741824) AS BIGINT) AS g, CAST(round(p * (1 - p) * 1073741824) AS BIGINT) AS h
+  FROM chance_{t}),
+sums_{t} AS (
+  SELECT class, classes, feature, v, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h, count(*) AS n
+  FROM slope_{t} s JOIN long USING (user_id, date) WHERE s.split = 'train' GROUP BY ALL),
+sides_{t} AS (
+  SELECT class, classes, feature, v, sum(g) OVER upto AS gl, sum(h) OVER upto AS hl, sum(n) OVER upto AS nl,
+         sum(g) OVER own AS ga, sum(h) OVER own AS ha, sum(n) OVER own AS na FROM sums_{t}
+  WINDOW own AS (PARTITION BY class, feature), upto AS (PARTITION BY class, feature ORDER BY v ROWS UNBOUNDED PRECEDING)),
+gains_{t} AS (
+  SELECT *, gl::DOUBLE * gl / nl + (ga - gl)::DOUBLE * (ga - gl) / (na - nl) - ga::DOUBLE * ga / na AS gain
+  FROM sides_{t} WHERE nl >= {min_leaf} AND na - nl >= {min_leaf}),
+best_{t} AS (
+  SELECT class, feature, v AS cut, {step} * (classes - 1) / classes * coalesce(gl / nullif(hl, 0), 0) AS low,
+         {step} * (classes - 1) / classes * coalesce((ga - gl) / nullif(ha - hl, 0), 0) AS high
+  FROM gains_{t} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY class ORDER BY gain DESC, feature, v) = 1),
+margin_{t + 1} AS (
+  SELECT s.user_id, s.date, s.split, y, s.class, classes,
+         f + CASE WHEN b.class IS NULL THEN 0 WHEN l.v > b.cut THEN high ELSE low END AS f
+  FROM slope_{t} s LEFT JOIN best_{t} b ON s.class = b.class
+  LEFT JOIN long l ON s.user_id = l.user_id AND s.date = l.date AND b.feature = l.feature)""")
+    return (
+        f"WITH {', '.join(parts)} SELECT user_id, date, {r6('coalesce(max(p) FILTER (y = class), 0)', 'true_chance')}, "
+        f"{r6('max(p)', 'highest_chance')} FROM chance_{rounds} WHERE split = 'test' GROUP BY user_id, date"
+    )
+
+
 def gram() -> str:
     names = list(NAIVE)[:4]
     terms = [
@@ -632,6 +684,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, label) = 1"
         "boosted_stumps": boosted(3, 1, bins=16, min_leaf=5, step=0.5, l1=0.0, l2=0.1),
         "random_tree_depth2": randomised(1, 2, min_leaf=1),
         "random_trees_depth1": randomised(3, 1, min_leaf=5),
+        "softmax_stumps": softmax_stumps(rounds=3, bins=8, min_leaf=5, step=0.3),
         "ols_one_feature": one_feature("zy / n"),
         "ridge_one_feature": one_feature("zy / (n + 1.0)"),
         "elastic_net_one_feature": one_feature(

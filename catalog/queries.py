@@ -28,6 +28,7 @@ from meterflow.operators import ensemble, features, metrics, peaks, splits
 from meterflow.operators.daily import daily_peak_hour, daily_stats
 from meterflow.operators.resample import required_readings, type_readings
 from meterflow.plans.forecasting import insight, predict_next_6_hours, predict_what_if
+from meterflow.models.softmax import SoftmaxBoosting
 from meterflow.models.trees import HistogramBoosting, RandomisedTrees
 from meterflow.plans.frames import build_daily_peak_frame, build_model_frame, preprocess_hourly
 from meterflow.plans.jobs import count_stages, train_from_hourly
@@ -365,6 +366,23 @@ def classify(spark, sf, spec: ModelSpec):
     return voted.select(*BY_TYPE, DAY, PEAK_HOUR, "predicted_peak_hour")
 
 
+DAY_FEATURES = ["day_mean", "day_max", "prev_day_max", "is_weekend"]
+STUMPS = SoftmaxBoosting(PEAK_HOUR, "chances", rounds=3, step=0.3, depth=1, min_leaf=5, bins=8)
+
+
+def softmax_stumps(spark, sf):
+    """The chance that boosted stumps give to each test day's true peak hour, and their highest chance."""
+    days = splits.daily_split(build_daily_peak_frame(hourly(spark, sf, BY_USER), BY_USER), BY_USER)
+    rounded = [F.round(F.col(name) + 1e-9, 6).alias(name) for name in DAY_FEATURES]
+    table = stage(days.select(*BY_USER, DAY, splits.SPLIT, PEAK_HOUR, *rounded), stage_folder(spark), "days")
+    vectors = assemble(table, DAY_FEATURES, [*BY_USER, DAY, splits.SPLIT, PEAK_HOUR])
+    fitted = STUMPS.fit(vectors.filter(F.col(splits.SPLIT) == splits.TRAIN))
+    scored = fitted.transform(vectors.filter(F.col(splits.SPLIT) == splits.TEST))
+    place = F.array_position(F.array(*map(F.lit, fitted.labels)), F.col(PEAK_HOUR).cast("int")) - 1
+    true = F.coalesce(F.get("chances", place), F.lit(0.0))  # an hour that no training day has
+    return scored.select(*BY_USER, DAY, true.alias("true_chance"), F.array_max("chances").alias("highest_chance"))
+
+
 def trained(spark, sf):
     return train_from_hourly(hourly(spark, sf), "fast")
 
@@ -465,6 +483,7 @@ def build() -> dict[str, Query]:
         name: partial(regress, spec=spec, names=[POWER]) for name, spec in ONE_FEATURE.items()
     }
     exact |= {name: partial(shallow_trees, model=model) for name, model in SHALLOW.items()}
+    exact["softmax_stumps"] = softmax_stumps
     fitted: dict[str, Query] = {
         f"model_{_slug(spec.name)}": partial(regress, spec=spec) for spec in regressors("balanced")
     }

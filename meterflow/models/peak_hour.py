@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,22 +16,23 @@ from ..operators.ensemble import vote_column
 from ..schema import EPSILON, PEAK_HOUR, SEED
 from .registry import BOOSTING, ModelSpec, full_depth
 from .regression import VECTOR, fit_all
+from .softmax import SoftmaxBoosting, SoftmaxEnsemble
 
 HOURS = 24
 VOTE = "predicted_peak_hour"
-_LABEL = "_label"
+_CHANCES = "_chances"
 
 
 @dataclass(frozen=True)
 class PeakModel:
     """A fitted classifier. ``model`` is None where fitting failed.
 
-    ``labels`` are the hours a one-vs-rest model numbers its classes by; a
-    forest numbers them by the hour itself.
+    ``labels`` are the hours a boosted model numbers its classes by; a forest
+    numbers them by the hour itself.
     """
 
     name: str
-    model: Model | None
+    model: Model | SoftmaxEnsemble | None
     labels: tuple[int, ...] = ()
 
 
@@ -39,16 +40,16 @@ def fit_peak_models(
     train: DataFrame, specs: list[ModelSpec], parallelism: int
 ) -> dict[str, PeakModel]:
     """Fit every classifier on rows of ``features`` and ``peak_hour``."""
-    fits = [lambda spec=spec: _fit_or_none(train, spec, parallelism) for spec in specs]
+    fits = [lambda spec=spec: _fit_or_none(train, spec) for spec in specs]
     return {fitted.name: fitted for fitted in fit_all(train.sparkSession, fits, parallelism)}
 
 
-def _fit_or_none(train: DataFrame, spec: ModelSpec, parallelism: int) -> PeakModel:
+def _fit_or_none(train: DataFrame, spec: ModelSpec) -> PeakModel:
     try:
         if train.isEmpty():
             raise ValueError("no days to learn from")
         if spec.kind == BOOSTING:
-            return _fit_one_vs_rest(train, spec, parallelism)
+            return _fit_boosting(train, spec)
         return PeakModel(spec.name, _forest(spec).fit(train))
     except (ValueError, RuntimeError, IllegalArgumentException):
         # Too little data for this model, or its fit gave up: it votes evenly and with no weight. What
@@ -69,27 +70,12 @@ def _forest(spec: ModelSpec) -> RandomForestClassifier:
     )
 
 
-def _fit_one_vs_rest(train: DataFrame, spec: ModelSpec, parallelism: int) -> PeakModel:
-    # At most 24 hours occur; those that do not get no classifier.
-    labels = tuple(sorted(row[0] for row in train.select(PEAK_HOUR).distinct().collect()))
-    if len(labels) < 2:
-        raise ValueError("boosting needs at least two different peak hours")
-    hours = F.array(*[F.lit(hour) for hour in labels])
-    numbered = train.withColumn(
-        _LABEL, (F.array_position(hours, F.col(PEAK_HOUR).cast("int")) - 1).cast("double")
+def _fit_boosting(train: DataFrame, spec: ModelSpec) -> PeakModel:
+    boosting = SoftmaxBoosting(
+        PEAK_HOUR, _CHANCES, spec.trees, spec.step, full_depth(spec), spec.min_leaf, spec.bins
     )
-    binary = GBTClassifier(
-        featuresCol=VECTOR,
-        labelCol=_LABEL,
-        maxIter=spec.trees,
-        stepSize=spec.step,
-        maxDepth=full_depth(spec),
-        seed=SEED,
-    )
-    rest = OneVsRest(
-        classifier=binary, featuresCol=VECTOR, labelCol=_LABEL, parallelism=parallelism
-    )
-    return PeakModel(spec.name, rest.fit(numbered), labels)
+    model = boosting.fit(train)
+    return PeakModel(spec.name, model, tuple(model.labels))
 
 
 def add_probabilities(models: Mapping[str, PeakModel], days: DataFrame) -> DataFrame:
@@ -110,17 +96,11 @@ def _add_probability(fitted: PeakModel, days: DataFrame) -> DataFrame:
         known = vector_to_array("probability")
         filled = F.concat(known, F.array_repeat(F.lit(0.0), HOURS))
         return scored.select(*kept, F.slice(filled, 1, HOURS).alias(name))
-    # One margin per class; the logistic loss of boosted trees doubles it.
-    margins = vector_to_array("rawPrediction")
-    chances = F.transform(margins, lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * m)))
-    rows = scored.select(*kept, chances.alias("_chance"))
-    total = F.aggregate("_chance", F.lit(0.0), lambda a, b: a + b)
     place = {hour: index for index, hour in enumerate(fitted.labels)}
-    shares = [
-        F.get("_chance", F.lit(place[hour])) / total if hour in place else F.lit(0.0)
-        for hour in range(HOURS)
+    chances = [
+        F.get(_CHANCES, F.lit(place[hour])) if hour in place else F.lit(0.0) for hour in range(HOURS)
     ]
-    return rows.select(*kept, F.array(*shares).alias(name))
+    return scored.select(*kept, F.array(*chances).alias(name))
 
 
 def _best_hour(array: Column) -> Column:

@@ -109,8 +109,8 @@ _CLASSIFIERS = [
 ]
 _COMPACT_FRAME_CLASSIFIER_TREES = {"fast": 100, "balanced": 300, "full": 450}
 
-# One-vs-rest boosting trains its trees once per hour of the day.
-_COMPACT_ONE_VS_REST_TREES = 5
+# A round of boosted classifiers grows a tree for every hour of the day.
+_COMPACT_ROUNDS = 10
 
 
 def profile_name(profile: str) -> str:
@@ -145,7 +145,7 @@ def classifiers(
     if full_budget:
         return found
     return [
-        replace(compact(spec), trees=_COMPACT_ONE_VS_REST_TREES)
+        replace(compact(spec), trees=_COMPACT_ROUNDS)
         if spec.kind == BOOSTING
         else compact(spec)
         for spec in found

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import OneVsRestModel, RandomForestClassificationModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.regression import (
     GBTRegressionModel,
     LinearRegressionModel,
@@ -18,6 +18,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import SparkSession
 
 from ..models.peak_hour import PeakModel
+from ..models.softmax import SoftmaxEnsemble
 from ..models.trees import TreeEnsemble
 from ..plans.training import Forecaster
 
@@ -27,9 +28,9 @@ _LOADERS = {
         GBTRegressionModel,
         LinearRegressionModel,
         RandomForestRegressionModel,
-        OneVsRestModel,
         RandomForestClassificationModel,
         TreeEnsemble,
+        SoftmaxEnsemble,
     )
 }
 
