@@ -109,7 +109,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(read(spark, sf_dir, "documents"))
+    judged = quality.quality(read(spark, sf_dir, "documents"))
+    return judged.withColumn("host_rate", F.round(F.col("host_rate") + 1e-9, 6))
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,4 +136,4 @@ def build() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op13_divergence": divergence.ORACLE}
+    return {"op9_quality": quality.ORACLE, "op13_divergence": divergence.ORACLE}

@@ -47,8 +47,11 @@ def test_hosts(spark):
     hosts = {"fine": (40, 0), "poor": (41, 40), "new": (2, 1), None: (1, 0), "": (1, 1)}
     n = sum(a for a, _ in hosts.values())
     mean = sum(b for _, b in hosts.values()) / n
-    spread = sum(b * b / a for a, b in hosts.values()) / n - mean * mean
-    weight = min(max(mean * (1 - mean) / spread - 1, 1), 1000)
+    spread = (sum(b * b / a for a, b in hosts.values()) - n * mean * mean) / (mean * (1 - mean))
+    shared = (spread - len(hosts)) / (n - len(hosts))
+    weight = min(max(1 / shared - 1, 1), 1000)
+    evidence = [(a / (1 + (a - 1) / (weight + 1)), b / a) for a, b in hosts.values()]
+    mean = sum(w * rate for w, rate in evidence) / sum(w for w, _ in evidence)
     for row in quality.host_rates(quality.document_stats(docs.drop("_host"))).collect():
         a, b = hosts[row["_host"]]
         assert abs(row.shrunk_rate - (b + mean * weight) / (a + weight)) < 1e-12
@@ -60,3 +63,37 @@ def test_long_and_repeated(spark):
     docs = spark.createDataFrame([(1, text, "h")] * 2, "doc_id long, text string, source string")
     rows = quality.quality(docs).collect()
     assert [(r.n_words, r.n_repeat_words, r.base_failed) for r in rows] == [(300_000, 300_000, True)] * 2
+
+
+def test_small_hosts_do_not_look_different_by_chance(spark):
+    """Hosts of one rate give a strong prior, and one host of a third of all rows does not set it."""
+    rng = random.Random(2)
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    rows = [(i, bad if rng.random() < 0.3 else good, f"h{i % 150}") for i in range(600)]
+    rows += [(1000 + i, bad, "two") for i in range(2)] + [(1100, good, "two")]
+    rows += [(2000 + i, bad, "spam") for i in range(300)] + [(2400, good, "spam")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = quality.host_rates(quality.document_stats(docs.filter("source <> 'spam'"))).collect()
+    assert max(r.shrunk_rate for r in few) < 0.5
+    kept = {r.doc_id: r.kept for r in quality.quality(docs).collect()}
+    assert not kept[2400]  # a planted host takes its one good document along
+    assert kept[1100]
+
+
+def test_equals_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(9)
+    parts = ["a", "b", "é", "c#", "\n", " ", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "<>", " a b ", "x\ny"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(400))), rng.choice(["p", "q", None])) for i in range(300)]
+    rows += [(300, None, "r"), (300, "", None), (None, "a a a a", "p"), (301, "a a a a", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    mine = quality.quality(docs)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(quality.ORACLE)
+    names = [c[0] for c in result.description]
+    theirs = sorted(map(repr, result.fetchall()))
+    found = [tuple(round(r[n] + 1e-9, 6) if n == "host_rate" else r[n] for n in names) for r in mine.collect()]
+    assert sorted(map(repr, found)) == theirs
