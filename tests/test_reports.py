@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,25 @@ def test_recent_rows_with_many_copies_of_one_row(spark):
     table = spark.createDataFrame(rows, "name string, at timestamp_ntz").repartition(4)
     found = recent_rows(table, 103, F.col("at"), ["name"]).groupBy("name").count()
     assert {row["name"]: row["count"] for row in found.collect()} == {"same": 100, "new": 3}
+
+
+@pytest.mark.parametrize("quantile", [0.0, 0.5, 0.9, 0.99, 1.0])
+def test_quantiles_by_rank_equal_numpy(spark, quantile):
+    """Series of any length, ties and heavy tails among them."""
+    rng = np.random.default_rng(5)
+    series = {n: rng.lognormal(3.0, 2.0, n) for n in [*range(1, 30), 100, 1_000, 40_000]}
+    series |= {-1: rng.integers(0, 5, 20_000).astype(float), -2: np.full(9_000, 7.5), -3: -series[1_000]}
+    rows = pd.DataFrame(
+        [(n, v) for n, own in series.items() for v in own.tolist()], columns=["meter", "actual"]
+    )
+    table = spark.createDataFrame(rows).repartition(6).unionByName(
+        spark.createDataFrame([(1, None), (None, 2.0), (None, 4.0)], "meter long, actual double")
+    )
+    found = {r.meter: r.peak_threshold for r in peaks.peak_threshold(table, ["meter"], quantile).collect()}
+    assert found.pop(None) == pytest.approx(2.0 + 2.0 * quantile)
+    assert found.keys() == series.keys()
+    for n, own in series.items():
+        assert found[n] == pytest.approx(np.quantile(own, quantile), rel=1e-12), n
+    whole = peaks.peak_threshold(table.filter("meter IS NOT NULL"), quantile=quantile).first()[0]
+    assert whole == pytest.approx(np.quantile(np.concatenate(list(series.values())), quantile), rel=1e-12)
+    assert peaks.peak_threshold(table.limit(0)).collect() == [(None,)]
