@@ -305,6 +305,17 @@ def one_feature(weight: str) -> str:
     )
 
 
+def two_features(other: str) -> str:
+    """Least squares on power and another column, from their covariances."""
+    return f"""WITH {WHOLE}, joint AS (
+  SELECT avg({P}) AS m1, avg({other}) AS m2, avg({TARGET}) AS my, var_pop({P}) AS a, covar_pop({P}, {other}) AS b,
+         var_pop({other}) AS c, covar_pop({P}, {TARGET}) AS p, covar_pop({other}, {TARGET}) AS q
+  FROM whole WHERE split <> 'test'),
+weights AS (SELECT *, (p * c - q * b) / (a * c - b * b) AS w1, (q * a - p * b) / (a * c - b * b) AS w2 FROM joint)
+SELECT datetime, {r6(TARGET, 'actual')}, {r6(f'my + w1 * ({P} - m1) + w2 * ({other} - m2)', 'predicted')}
+FROM whole, weights WHERE split = 'test'"""
+
+
 TREE_FEATURES = [P, "hour", "power_lag_24", "power_roll_mean_6"]
 DAY_FEATURES = ["day_mean", "day_max", "prev_day_max", "is_weekend"]
 SEED = 42
@@ -685,6 +696,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, label) = 1"
         "random_tree_depth2": randomised(1, 2, min_leaf=1),
         "random_trees_depth1": randomised(3, 1, min_leaf=5),
         "softmax_stumps": softmax_stumps(rounds=3, bins=8, min_leaf=5, step=0.3),
+        "ols_repeated_features": two_features("power_lag_1"),
         "ols_one_feature": one_feature("zy / n"),
         "ridge_one_feature": one_feature("zy / (n + 1.0)"),
         "elastic_net_one_feature": one_feature(

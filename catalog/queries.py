@@ -333,6 +333,9 @@ ONE_FEATURE = {
 }
 
 
+# Features that repeat each other: a copy of one, and the difference of two.
+REPEATED = [POWER, "power_lag_1", "power_diff_1", POWER]
+
 TREE_FEATURES = [POWER, "hour", "power_lag_24", "power_roll_mean_6"]
 
 
@@ -484,6 +487,7 @@ def build() -> dict[str, Query]:
     }
     exact |= {name: partial(shallow_trees, model=model) for name, model in SHALLOW.items()}
     exact["softmax_stumps"] = softmax_stumps
+    exact["ols_repeated_features"] = partial(regress, spec=ONE_FEATURE["ols_one_feature"], names=REPEATED)
     fitted: dict[str, Query] = {
         f"model_{_slug(spec.name)}": partial(regress, spec=spec) for spec in regressors("balanced")
     }

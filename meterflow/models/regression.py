@@ -15,18 +15,13 @@ from pyspark.sql import functions as F
 
 from ..operators.chunks import join_on
 from ..schema import SEED
+from .least_squares import LeastSquares
 from .registry import BOOSTING, ELASTIC_NET, HISTOGRAM, OLS, RANDOMISED, RIDGE, ModelSpec, full_depth
 from .trees import HistogramBoosting, RandomisedTrees
 
 VECTOR = "features"
 _ITERATIONS = 6000
 
-# Features repeat each other exactly (a difference is two lags), so plain least
-# squares has no single answer and Spark would iterate over the data for one.
-# This trace of a penalty picks the smallest answer in one pass; predictions
-# agree with a singular-value solution to about eight digits.
-_TRACE = 1e-12
-
 
 @dataclass(frozen=True)
 class LabelStats:
@@ -84,12 +79,14 @@ def penalties(spec: ModelSpec, stats: LabelStats) -> tuple[float, float]:
         ridge = spec.alpha * (1.0 - spec.l1_ratio) * stats.deviation
         total = lasso + ridge
         return total, lasso / total if total else 0.0
-    return _TRACE * stats.deviation, 0.0
+    raise ValueError(f"{spec.kind} has no penalty")
 
 
-def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator | HistogramBoosting | RandomisedTrees:
+def estimator(spec: ModelSpec, label: str, stats: LabelStats) -> Estimator | LeastSquares | HistogramBoosting | RandomisedTrees:
     common = {"featuresCol": VECTOR, "labelCol": label, "predictionCol": spec.name}
-    if spec.kind in (RIDGE, ELASTIC_NET, OLS):
+    if spec.kind == OLS:
+        return LeastSquares(label, spec.name)
+    if spec.kind in (RIDGE, ELASTIC_NET):
         strength, mix = penalties(spec, stats)
         # The iterations of an L1 penalty run on the summed moments, not the data.
         iterations = _ITERATIONS if mix else 100

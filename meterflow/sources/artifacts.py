@@ -17,6 +17,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import SparkSession
 
+from ..models.least_squares import LinearModel
 from ..models.peak_hour import PeakModel
 from ..models.softmax import SoftmaxEnsemble
 from ..models.trees import TreeEnsemble
@@ -30,6 +31,7 @@ _LOADERS = {
         RandomForestRegressionModel,
         RandomForestClassificationModel,
         TreeEnsemble,
+        LinearModel,
         SoftmaxEnsemble,
     )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from meterflow.models.least_squares import LeastSquares, LinearModel
 from meterflow.models.registry import ELASTIC_NET, OLS, RIDGE, ModelSpec
 from meterflow.models.regression import assemble, estimator, label_stats
 
@@ -42,7 +43,20 @@ def test_least_squares_with_repeated_features(data):
     vectors, z, y = data
     weights = np.linalg.lstsq(z, y - y.mean(), rcond=None)[0]
     found = predictions(vectors, ModelSpec("Linear Regression", OLS))
-    assert found == pytest.approx(z @ weights + y.mean(), abs=1e-6)
+    assert found == pytest.approx(z @ weights + y.mean(), abs=1e-9)
+
+
+def test_least_norm_and_kept_models(spark, data, tmp_path):
+    vectors, z, y = data
+    model = LeastSquares("actual", "out").fit(vectors)
+    deviation = np.array([np.std([row.features[k] for row in vectors.collect()]) for k in range(5)])
+    weights = np.linalg.lstsq(z, y - y.mean(), rcond=None)[0]
+    assert np.array(model.weights) * deviation == pytest.approx(weights, abs=1e-9)
+    assert model.weights[4] == 0.0
+    model.write().overwrite().save(f"{tmp_path}/model")
+    assert LinearModel.load(f"{tmp_path}/model") == model
+    with pytest.raises(ValueError):
+        LeastSquares("actual", "out").fit(vectors.limit(1))
 
 
 def test_elastic_net(data):
