@@ -53,11 +53,20 @@ def as_bytes(array: pa.Array) -> list[bytes]:
     return [value or b"" for value in array.cast(pa.binary()).to_pylist()]
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the planner's size of ``df`` is within its own bound for broadcasts; sizes of written tables are file sizes."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column, salts: int = 16) -> DataFrame:
     """Left join to a smaller table of unique keys, each key's rows dealt over ``salts`` tasks.
 
-    ``spread`` is an integer expression of the left rows; right rows are copied per salt.
+    ``spread`` is an integer expression of the left rows; right rows are copied per salt. A right side
+    whose size allows a broadcast is broadcast as it is, once and without copies.
     """
+    if is_small(right):
+        return left.join(F.broadcast(right), list(keys), "left")
     salted = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
