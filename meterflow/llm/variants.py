@@ -161,6 +161,7 @@ def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame, folde
         F.count(F.lit(1)).alias("_ways"), F.sum("n").alias("_crowd"), F.max("letter").alias("_last")
     ).filter("_ways > 1")
     branches = branches.select("node", "_last", F.ceil(F.col("_crowd") / CROWD).cast("int").alias("_parts"))
+    branches = stage(branches, folder, "branches")
     # The root and other short prefixes are on very many paths.
     own = salted_join(steps.drop("child"), branches, ["node"], F.xxhash64("id")).filter("_parts IS NOT NULL")
     own = stage(own, folder, "own")
@@ -195,7 +196,7 @@ def one_edit_states(steps: DataFrame, edges: DataFrame, chains: DataFrame, folde
 
 def near_pairs(words: DataFrame, folder: str) -> DataFrame:
     """``a, b``: the ids of all pairs of words one edit apart, each pair once."""
-    steps = stage(path_steps(words), folder, "steps")
+    steps = path_steps(words)  # computed twice from the written words: cheaper than a table ten times their size
     edges = stage(edge_table(steps), folder, "edges")
     chains = stage(chains_of(edges), folder, "chains")
     states = stage(one_edit_states(steps, edges, chains, folder), folder, "states0")
