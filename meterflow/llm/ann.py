@@ -17,7 +17,11 @@ table, on clustered ones a small one.
 Equal vectors are one entry with its smallest keys; an entry needs no more keys
 than neighbours are asked for (and one, for the query's own), as ties go to
 smaller keys, so copies of one vector cost no more than one. Index blocks hold
-at most about ``BLOCK`` entries, and queries meet them in chunks.
+at most about ``BLOCK`` entries. Queries travel to the blocks they visit with
+the sum of their last cell, from which the block's task finds the visited cells
+again; a block is copied once per ``QUERY_CHUNK`` queries that visit it, so the
+rows shuffled grow with the visits and never by more than ``BLOCK`` /
+``QUERY_CHUNK`` of them for copies (one copy of each visited block besides).
 
 Vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part; rows without a key neither. Rows that
@@ -28,10 +32,12 @@ returned. An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,7 +52,9 @@ ROUNDS = 8
 PROBES = 128
 RECALL = 0.97
 BLOCK = 8192
-QUERY_CHUNK = 4096
+QUERY_CHUNK = 16_384
+QUERY_ROWS = 256  # queries multiplied with a block at once
+FLOOR_SLACK = 1e-5  # share of a cell's sum that single precision may lose
 SEED = 10
 
 
@@ -126,26 +134,38 @@ def _best(scores: np.ndarray, keys: list[list[int]], at: np.ndarray, own: int, t
     return heapq.nsmallest(top, found)
 
 
-def _search_block(top: int, width: int):
-    """One block of entries against one chunk of queries: each query's best in the cells it visits."""
+def _search_block(top: int, half: int, shared: Broadcast):
+    """One block of entries against the queries that visit it: each query's best in the cells it visits.
+
+    Rough products of many queries at once choose the entries whose exact products are taken.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query": [], "score": [], "key": []}
         if left.num_rows and right.num_rows:
-            vectors, cells = _matrix(left.column("vector"), np.float64), left.column("cell").to_numpy()
+            centers = shared.value[0]
+            vectors = _matrix(left.column("vector"), np.float64)
+            own, place = np.unique(left.column("cell").to_numpy(), return_inverse=True)
+            first, second = own // len(centers[1]), own % len(centers[1])
             keys = left.column("keys").to_pylist()
-            low = int(cells.min())
-            present = np.zeros(int(cells.max()) - low + 1, dtype=bool)
-            for query, vector, visited in zip(
-                right.column("query").to_pylist(), _matrix(right.column("vector"), np.float64), right.column("cells").to_pylist(), strict=True
-            ):
-                present[:] = False
-                present[np.array(visited, dtype=np.int64) - low] = True
-                at = np.flatnonzero(present[cells - low])
-                for score, key in _best(exact_products(vectors[at], vector), keys, at, query, top):
-                    out["query"].append(query)
-                    out["score"].append(-score)
-                    out["key"].append(key)
+            longest = np.sqrt((vectors * vectors).sum(axis=1).max())
+            asked, floors = right.column("query").to_pylist(), right.column("floor").to_numpy()
+            points = _matrix(right.column("vector"), np.float64)
+            beyond = max(0, len(vectors) - top - 1)
+            for low in range(0, len(asked), QUERY_ROWS):
+                some = points[low : low + QUERY_ROWS]
+                single = some.astype(np.float32)
+                sums = (single[:, :half] @ centers[0].T)[:, first] + (single[:, half:] @ centers[1].T)[:, second]
+                visited = sums >= floors[low : low + QUERY_ROWS, None]
+                rough = np.where(visited[:, place], some @ vectors.T, -np.inf)
+                cut = np.partition(rough, beyond, axis=1)[:, beyond]
+                cut -= 1e-12 * len(vectors[0]) * longest * np.sqrt((some * some).sum(axis=1))
+                for r, query in enumerate(asked[low : low + QUERY_ROWS]):
+                    at = np.flatnonzero((rough[r] >= cut[r]) & (rough[r] > -np.inf))
+                    for score, key in _best(exact_products(vectors[at], some[r]), keys, at, query, top):
+                        out["query"].append(query)
+                        out["score"].append(-score)
+                        out["key"].append(key)
         return pa.table({
             "query": pa.array(out["query"], pa.int64()), "score": pa.array(out["score"], pa.float64()), "key": pa.array(out["key"], pa.int64()),
         })
@@ -242,42 +262,48 @@ class Index:
         centers, half, counts, enough = self.centers, self.half, self.counts, max(self.enough, 2 * self.top)
         block_of, parts_of = self.block_of, self.parts_of
         kind = queries.schema["vector"].dataType.simpleString()
-        spark = queries.sparkSession
-        shared = spark.sparkContext.broadcast((centers, counts, block_of, parts_of))
+        shared = queries.sparkSession.sparkContext.broadcast((centers, counts, block_of, parts_of))
 
         def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             centers, counts, block_of, parts_of = shared.value
             for batch in batches:
                 points = _matrix(batch.column("vector"), np.float32)
-                rows, blocks, cells = [], [], []
+                rows, blocks, parts, floors = [], [], [], []
                 for r in range(len(points)):
-                    visited = np.array(walk(centers[0] @ points[r, :half], centers[1] @ points[r, half:], counts, enough))
-                    for block in np.unique(block_of[visited]).tolist():
-                        own = visited[block_of[visited] == block]
-                        for part in range(int(parts_of[own].max())):
-                            rows.append(r)
-                            blocks.append((block, part))
-                            cells.append(own[parts_of[own] > part])
-                taken = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("query").take(taken), batch.column("vector").take(taken), pa.array([b for b, _ in blocks], pa.int32()),
-                        pa.array([p for _, p in blocks], pa.int32()), pa.array(cells, pa.list_(pa.int64())),
-                    ],
-                    names=["query", "vector", "block", "part", "cells"],
-                )
-
-        n_queries = queries.count()
-        chunks = max(1, -(-n_queries // QUERY_CHUNK))
-        asked = queries.select("query", "vector").mapInArrow(
-            visits, f"query long, vector {kind}, block int, part int, cells array<long>"
-        ).withColumn("chunk", F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int"))
+                    sums = centers[0] @ points[r, :half], centers[1] @ points[r, half:]
+                    visited = np.array(walk(*sums, counts, enough))
+                    i, j = divmod(int(visited[-1]), len(sums[1]))
+                    floor = float(sums[0][i]) + float(sums[1][j]) - FLOOR_SLACK * float(np.abs(sums[0]).max() + np.abs(sums[1]).max())
+                    reached = np.zeros(int(block_of.max()) + 1, dtype=np.int32)  # parts of each block
+                    np.maximum.at(reached, block_of[visited], parts_of[visited])
+                    met = np.flatnonzero(reached)
+                    n_parts = reached[met]
+                    blocks.append(np.repeat(met, n_parts))
+                    parts.append(np.arange(n_parts.sum()) - np.repeat(np.cumsum(n_parts) - n_parts, n_parts))
+                    rows.append(np.full(n_parts.sum(), r))
+                    floors.append(np.full(n_parts.sum(), floor))
+                if rows:
+                    taken = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("query").take(taken), batch.column("vector").take(taken),
+                            pa.array(np.concatenate(blocks).astype(np.int32)), pa.array(np.concatenate(parts).astype(np.int32)),
+                            pa.array(np.concatenate(floors)),
+                        ],
+                        names=["query", "vector", "block", "part", "floor"],
+                    )
+
+        asked = queries.select("query", "vector").mapInArrow(visits, f"query long, vector {kind}, block int, part int, floor double")
+        asked = stage(asked, self.folder, f"asked-{uuid.uuid4().hex}")
+        visitors = asked.groupBy("block", "part").agg(F.ceil(F.count(F.lit(1)) / QUERY_CHUNK).cast("int").alias("copies"))
         table = F.broadcast(self._cell_table())  # at most MOST_CENTROIDS squared rows
         placed = self.placed.join(table, "cell").withColumn("part", F.pmod(F.xxhash64("vector"), F.col("parts")).cast("int"))
-        placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("keys", "vector", "cell", "block", "part", "chunk")
+        copied = placed.join(visitors, ["block", "part"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        copied = copied.select("keys", "vector", "cell", "block", "part", "chunk")
+        dealt = asked.join(visitors, ["block", "part"]).withColumn("chunk", F.pmod(F.xxhash64("query"), F.col("copies")).cast("int"))
         by = ["block", "part", "chunk"]
-        found = placed.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(
-            _search_block(self.top, self.width), "query long, score double, key long"
+        found = copied.groupBy(*by).cogroup(dealt.drop("copies").groupBy(*by)).applyInArrow(
+            _search_block(self.top, half, shared), "query long, score double, key long"
         )
         best = Window.partitionBy("query").orderBy(F.desc("score"), "key")
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= self.top)

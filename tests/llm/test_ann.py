@@ -51,6 +51,25 @@ def test_clusters_need_few_visits(spark):
     assert hit >= 0.9 * 20 * len(expected)
 
 
+def test_crowded_blocks_are_copied_and_cells_split(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_CHUNK", 8)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 3)
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    monkeypatch.setattr(ann, "ENTRIES_PER_CELL", 100)
+    monkeypatch.setattr(ann, "RECALL", 1.0)
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(900, 6)).astype(np.float32)
+    index = ann.Index(spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], SCHEMA), "vec_id", "embedding")
+    assert index.parts_of.max() > 1
+    monkeypatch.setattr(index, "enough", index.n)
+    queries = index.vectors.filter("key % 5 = 0").selectExpr("key AS query", "vector")
+    got: dict[int, list] = {}
+    for r in index.search(queries).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    expected = brute(dict(enumerate(points)), 5, 20)
+    assert {q: [i for i, _ in found] for q, found in got.items()} == {q: [i for i, _ in found] for q, found in expected.items()}
+
+
 def test_ties_and_odd_rows(spark):
     same = [0.5, 0.5, 0.5]
     rows = [(i, same) for i in range(100)] + [(3, same), (200, [1.0, 0.0, 0.0]), (201, [0.0, 0.0, 0.0]), (202, None), (203, [1.0, None, 0.0])]
