@@ -53,6 +53,7 @@ PROBES = 128
 RECALL = 0.97
 BLOCK = 8192
 QUERY_CHUNK = 16_384
+WALKS = 4096  # queries of a task that looks for the cells they visit
 QUERY_ROWS = 256  # queries multiplied with a block at once
 FLOOR_SLACK = 1e-5  # share of a cell's sum that single precision may lose
 SEED = 10
@@ -293,7 +294,8 @@ class Index:
                         names=["query", "vector", "block", "part", "floor"],
                     )
 
-        asked = queries.select("query", "vector").mapInArrow(visits, f"query long, vector {kind}, block int, part int, floor double")
+        tasks = max(queries.sparkSession.sparkContext.defaultParallelism, -(-queries.count() // WALKS))
+        asked = queries.select("query", "vector").repartition(tasks, "query").mapInArrow(visits, f"query long, vector {kind}, block int, part int, floor double")
         asked = stage(asked, self.folder, f"asked-{uuid.uuid4().hex}")
         visitors = asked.groupBy("block", "part").agg(F.ceil(F.count(F.lit(1)) / QUERY_CHUNK).cast("int").alias("copies"))
         table = F.broadcast(self._cell_table())  # at most MOST_CENTROIDS squared rows
