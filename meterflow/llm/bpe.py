@@ -178,6 +178,8 @@ class Merger(dict):
                     piece, rank = line.split()
                     self.ranks[base64.b64decode(piece)] = int(rank)
         self.words = {rank: piece for piece, rank in self.ranks.items()}
+        self.lengths = np.zeros(max(self.words, default=0) + 1, dtype=np.int64)
+        self.lengths[list(self.words)] = list(map(len, self.words.values()))
         self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         pairs = {
             (self.ranks[piece[:i]] << 32) | self.ranks[piece[i:]]: rank
@@ -281,6 +283,20 @@ class Merger(dict):
         words = self.words
         return b"".join([words[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
 
+    def decode_span(self, ids: bytes, offsets: bytes, start: int, stop: int) -> tuple[int, bytes]:
+        """The pre-tokens that hold a byte from ``start`` up to ``stop``, and the offset of the first of them."""
+        begins = np.frombuffer(offsets, dtype="<u4")
+        tokens = np.frombuffer(ids, dtype="<u4")
+        byte_at = np.concatenate([[0], np.cumsum(self.lengths[tokens])])  # where each token starts
+        start, stop = max(start, 0), min(stop, int(byte_at[-1]))
+        if start >= stop:
+            return start, b""
+        first = int(begins[np.searchsorted(begins, start, "right") - 1])
+        later = np.searchsorted(begins, stop, "left")
+        last = int(begins[later]) if later < len(begins) else int(byte_at[-1])
+        low, high = np.searchsorted(byte_at, [first, last])
+        return first, self.decode(tokens[low:high].tobytes())
+
 
 @lru_cache(maxsize=2)
 def merger(path: str) -> Merger:
@@ -350,21 +366,49 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     """``key, ids binary, offsets binary``: token ids and pre-token byte offsets as packed 32-bit
     little-endian integers. With ``decoded`` also the bytes the ids stand for."""
     kind = docs.schema[key].dataType.simpleString()
-    last = "decoded" if decoded else "offsets"
+    last = ["decoded"] if decoded else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = merger(path)
         for block in blocks(batches, "_text"):
             rows = encode_texts(as_bytes(block.column("_text")), path)
-            ids = [row[0] for row in rows]
-            second = [pieces.decode(x) for x in ids] if decoded else [row[1] for row in rows]
+            packed = [[row[0] for row in rows], [row[1] for row in rows]]
+            if decoded:
+                packed.append([pieces.decode(ids) for ids in packed[0]])
             yield pa.RecordBatch.from_arrays(
-                [block.column("_key"), pa.array(ids, pa.binary()), pa.array(second, pa.binary())],
-                names=[key, "ids", last],
+                [block.column("_key"), *(pa.array(values, pa.binary()) for values in packed)],
+                names=[key, "ids", "offsets", *last],
             )
 
     chosen = docs.selectExpr(f"`{key}` AS _key", f"`{text}` AS _text")
-    return chosen.mapInArrow(run, f"`{key}` {kind}, ids binary, {last} binary")
+    return chosen.mapInArrow(run, ", ".join([f"`{key}` {kind}", *(f"{name} binary" for name in ["ids", "offsets", *last])]))
+
+
+def decode_spans(
+    encoded: DataFrame, path: str, start: str = "start", stop: str = "stop", key: str = "doc_id"
+) -> DataFrame:
+    """``key, start, stop, offset, text binary``: of each row's ``ids`` and ``offsets`` the whole pre-tokens
+    that hold a byte from ``start`` up to ``stop``, from byte ``offset`` of the text on.
+
+    A span beyond the text is cut to it, an empty one gives no bytes; any null gives a null ``text``.
+    """
+    kind = encoded.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = merger(path)
+        for block in blocks(batches, "ids"):
+            asked = zip(*(block.column(name).to_pylist() for name in ("ids", "offsets", "start", "stop")), strict=True)
+            found = [(None, None) if None in row else pieces.decode_span(*row) for row in asked]
+            yield pa.RecordBatch.from_arrays(
+                [block.column(0), block.column("start"), block.column("stop"),
+                 pa.array([at for at, _ in found], pa.int64()), pa.array([text for _, text in found], pa.binary())],
+                names=[key, "start", "stop", "offset", "text"],
+            )
+
+    bounds = [encoded[name].cast("long").alias(alias) for name, alias in ((start, "start"), (stop, "stop"))]
+    return encoded.select(key, "ids", "offsets", *bounds).mapInArrow(
+        run, f"`{key}` {kind}, start long, stop long, offset long, text binary"
+    )
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:

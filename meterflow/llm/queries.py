@@ -31,19 +31,20 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-def token_digests(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """Token count and digests of ids and of the decoded bytes, per document."""
+def token_digests(docs: DataFrame, path: str = RANKS, offsets: bool = False) -> DataFrame:
+    """Token count and digests of ids and of the decoded bytes, per document; with ``offsets`` also those of the pre-tokens."""
     coded = bpe.encode(docs, path, decoded=True)
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["offsets"] if offsets else []),
     )
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(read(spark, sf_dir, "documents"))
+    return token_digests(read(spark, sf_dir, "documents"), offsets=True)
 
 
 def piece_digests(docs: DataFrame, path: str = PIECES) -> DataFrame:

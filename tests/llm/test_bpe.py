@@ -68,3 +68,28 @@ def test_rows_of_any_kind(spark, library):
     assert token_digests(docs.limit(0)).count() == 0
     back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(docs, RANKS), RANKS).collect()}
     assert bytes(back[1]) == b"a b" and bytes(back[2]) == b""
+
+
+def test_spans_are_decoded_by_offsets(spark, library):
+    text = "It's a naïve test, 漢字 and 12345 more\n\n  words " * 3
+    raw = text.encode()
+    spans = [(a, a + n) for a in range(-2, len(raw) + 3, 7) for n in (0, 1, 5, 40, 1000)] + [(None, 3), (4, None)]
+    rows = [(i, text, a, b) for i, (a, b) in enumerate(spans)] + [(-1, None, 0, 5), (-2, "", 0, 5), (-3, "", 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, a int, b long").selectExpr("*", "1 AS offset", "2 AS start")
+    coded = bpe.encode(docs, RANKS).join(docs.select("doc_id", "a", "b"), "doc_id")
+    got = {r.doc_id: r for r in bpe.decode_spans(coded, RANKS, "a", "b").collect()}
+    ids, packed = bpe.encode_texts([raw], RANKS)[0]
+    starts = [*np.frombuffer(packed, "<u4").tolist(), len(raw)]
+    assert library.encode_ordinary(text) == np.frombuffer(ids, "<u4").tolist()
+    for i, (a, b) in enumerate(spans):
+        if a is None or b is None:
+            assert got[i].text is None
+            continue
+        met = [k for k in range(len(starts) - 1) if starts[k] < b and starts[k + 1] > a] if a < b else []
+        want = raw[starts[met[0]] : starts[met[-1] + 1]] if met else b""
+        assert bytes(got[i].text) == want, (a, b)
+        if met:
+            assert got[i].offset == starts[met[0]]
+    assert all(bytes(got[i].text) == b"" for i in (-1, -2, -3))
+    whole = bpe.encode(docs, RANKS, decoded=True)
+    assert whole.columns == ["doc_id", "ids", "offsets", "decoded"]
