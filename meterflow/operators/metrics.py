@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schema import GOAL_ACCURACY, GOAL_RAE
@@ -111,6 +111,17 @@ def stage_counts(**stages: DataFrame) -> DataFrame:
     return table
 
 
+def observed(frame: DataFrame) -> tuple[DataFrame, Observation]:
+    """``frame`` and its number of ``rows``, known once a job has run over it without another scan.
+
+    A report on a run: rows below a shuffle that were computed again after an executor was lost may
+    count twice here, never in :func:`stage_counts`. Where nothing of the frame reaches the job's
+    result, Spark drops the observation with that part of the plan.
+    """
+    seen = Observation()
+    return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def best_predictions(predictions: DataFrame, board: DataFrame) -> DataFrame:
     """The rows of the leaderboard's first model (one row, so it is broadcast)."""
     return predictions.join(F.broadcast(best_model(board).select(MODEL)), MODEL, "left_semi")

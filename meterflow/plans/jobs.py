@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.metrics import stage_counts
+from ..operators.metrics import observed, stage_counts
 from ..schema import (
     COMPARISON_FILE,
+    DATE,
     METRICS_FILE,
+    NUMERIC_COLUMNS,
     PEAKS_FILE,
     SERVICE_MAX_ROWS,
     SERVICE_PROFILE,
+    TIME,
 )
 from ..session import stage, stage_folder
 from ..sources.artifacts import load_artifacts, save_artifacts
@@ -20,7 +23,7 @@ from ..sources.readings import read_readings, recent_readings
 from ..sources.tables import write_csv
 from .forecasting import predict_next_6_hours
 from .frames import build_model_frame, preprocess_hourly
-from .training import Forecaster, train_and_evaluate
+from .training import FRAME_TABLE, Forecaster, train_and_evaluate
 
 
 def run_training(
@@ -48,9 +51,18 @@ def train_from_raw(
     full_budget: bool = False,
 ) -> Forecaster:
     """The same from raw readings in memory, without files."""
-    return train_from_hourly(
-        preprocess_hourly(raw, series_cols), profile, series_cols, full_budget
+    used = raw.select(*series_cols, DATE, TIME, *NUMERIC_COLUMNS)
+    counted, seen = observed(used)
+    trained = train_from_hourly(
+        preprocess_hourly(counted, series_cols), profile, series_cols, full_budget
     )
+    later = trained.tables["stage_counts"]
+    if trained.tables["hourly"].isEmpty():  # nothing of the readings was left to observe
+        first = stage_counts(raw=used)
+    else:
+        first = later.sparkSession.createDataFrame([("raw", seen.get["rows"])], later.schema)
+    trained.tables["stage_counts"] = first.unionByName(later)
+    return trained
 
 
 def train_from_hourly(
@@ -67,6 +79,9 @@ def train_from_hourly(
         folder=folder,
     )
     trained.tables["hourly"] = table
+    # Training has written the frame it was given; both tables' rows stand in the files' footers.
+    model = hourly.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{FRAME_TABLE}")
+    trained.tables["stage_counts"] = stage_counts(hourly=table, model=model)
     return trained
 
 

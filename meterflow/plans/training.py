@@ -46,6 +46,7 @@ from .frames import build_daily_peak_frame
 _PARALLEL_FITS = 8
 # Fewer rows than this are not worth a task of their own in every tree level.
 _ROWS_PER_TASK = 20_000
+FRAME_TABLE = "model_frame"  # the written frame, in the folder of a training
 
 
 @dataclass
@@ -98,7 +99,7 @@ def train_and_evaluate(
     folder = folder or stage_folder(model_frame.sparkSession)
     features = [name for name in model_frame.columns if name not in (*keys, TARGET)]
 
-    frame = stage(model_frame, folder, "model_frame")
+    frame = stage(model_frame, folder, FRAME_TABLE)
     split = stage(chrono_split(frame, series, split_ratio), folder, "split_frame")
     vectors = _training_vectors(split, features, keys).persist()
     try:

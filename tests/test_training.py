@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from meterflow import (
 )
 from meterflow.models import peak_hour
 from meterflow.models.registry import classifiers, profile_name, regressors
+from meterflow.plans import jobs
 from meterflow.plans.jobs import count_stages
 from meterflow.schema import BASE_COLUMNS, ENSEMBLE
+from meterflow.session import stage
 from meterflow.sources.tables import as_records, write_json
 
 from .fixtures import minute_readings
@@ -43,6 +46,29 @@ def test_stage_counts(spark):
     assert counts == {"raw": 64_800, "hourly": 1_080, "model": 1_031}
 
 
+def test_a_job_counts_the_rows_it_works_on(spark, monkeypatch, tmp_path):
+    path = str(tmp_path / "raw")
+    minute_readings(spark).write.parquet(path)
+    plans = []
+
+    def no_training(frame, hourly, folder, **_):
+        stage(frame, folder, jobs.FRAME_TABLE)
+        return SimpleNamespace(tables={})
+
+    def written(df, folder, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, folder, name)
+
+    monkeypatch.setattr(jobs, "train_and_evaluate", no_training)
+    monkeypatch.setattr(jobs, "stage", written)
+    raw = spark.read.parquet(path)
+    got = {r.stage: r.rows for r in jobs.train_from_raw(raw).tables["stage_counts"].collect()}
+    assert got == {r.stage: r.rows for r in count_stages(raw).collect()}
+    assert plans[0].count("FileScan") == 1
+    empty = jobs.train_from_raw(raw.limit(0)).tables["stage_counts"].collect()
+    assert {r.stage: r.rows for r in empty} == {"raw": 0, "hourly": 0, "model": 0}
+
+
 def test_leaderboard_beats_the_mean(trained):
     result, _ = trained
     rows = result.tables["leaderboard"].collect()
