@@ -3,7 +3,9 @@
 The chances of a row's classes come from margins that start at the logarithms of
 the classes' shares. A round takes the gradients of all classes at once: one
 aggregation per level finds the splits of all its trees, so a round costs as many
-jobs as its trees have levels, whatever the number of classes.
+jobs as its trees have levels, whatever the number of classes. Rows of the same
+class in the same bins have the same gradients in every round, so they are one
+row with their number from the start.
 
 Gradients are counted in whole units, as in :mod:`.trees`, so sums do not depend
 on how rows are dealt over tasks. Rows hold MLlib vectors without missing values;
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.functions import vector_to_array
@@ -31,13 +34,13 @@ _MODEL = f"base array<double>, trees array<array<{_TREE}>>, grown array<{_TREE}>
 # The best split of every open node of every class's tree, by the squared sums of residuals over rows.
 _SPLITS = """
 WITH placed AS (
-    SELECT _x, inline(filter(transform(_p, (p, tree) -> struct(tree, {node} AS node,
+    SELECT _x, _n, inline(filter(transform(_p, (p, tree) -> struct(tree, {node} AS node,
         CAST(round((if(tree = _y, 1D, 0D) - p) * {units}D) AS BIGINT) AS g,
         CAST(round(p * (1 - p) * {units}D) AS BIGINT) AS h)), r -> r.node >= get(_m.first, r.tree)))
     FROM {table}
 ), sums AS (
-    SELECT tree, node, feature, bin, sum(g) AS g, sum(h) AS h, count(1) AS n
-    FROM (SELECT tree, node, g, h, posexplode(_x) AS (feature, bin) FROM placed)
+    SELECT tree, node, feature, bin, sum(g) AS g, sum(h) AS h, sum(_n) AS n
+    FROM (SELECT tree, node, _n, g * _n AS g, h * _n AS h, posexplode(_x) AS (feature, bin) FROM placed)
     GROUP BY tree, node, feature, bin
 ), sides AS (
     SELECT tree, node, feature, bin, gl, hl, nl, ga, ga - gl AS gr, ha - hl AS hr, na, na - nl AS nr FROM (
@@ -68,11 +71,17 @@ def _margins(start: str, depth: int) -> Column:
     return F.expr(f"transform({start}, (s, k) -> aggregate(get(_m.trees, k), s, (a, t) -> a + get(t.value, {walk})))")
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once a row, and not again for each class that ``then`` goes through."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _softmax(margins: str) -> Column:
     """Chances that sum to 1; the largest margin is taken off first, so none overflows."""
-    shifted = F.transform(margins, lambda f: F.exp(f - F.array_max(margins)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(shifted, lambda e: e / total)
+    shifted = _once(F.array_max(margins), lambda top: F.transform(margins, lambda f: F.exp(f - top)))
+    return _once(shifted, lambda own: _once(
+        F.aggregate(own, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(own, lambda e: e / total)
+    ))
 
 
 @dataclass
@@ -139,11 +148,10 @@ class SoftmaxBoosting:
         base = [math.log(counts[label] / n) for label in labels]
         edges = bin_edges(data, n, self.bins)
         place = F.array_position(F.array(*map(F.lit, labels)), F.col("_y").cast("int")) - 1
-        table = _binned(data, self.label, edges, 0.0).select(
-            "_x", place.cast("int").alias("_y"), F.array(*map(F.lit, base)).alias("_f")
-        )
+        placed = _binned(data, self.label, edges, 0.0).select("_x", place.cast("int").alias("_y"))
+        cells = placed.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
         folder = stage_folder(data.sparkSession)
-        table = stage(table, folder, "binned0")
+        table = stage(cells.withColumn("_f", F.array(*map(F.lit, base))), folder, "binned0")
         done: list[list[Tree]] = [[] for _ in labels]
         fresh: list[list[Tree]] = [[] for _ in labels]  # not yet part of the table's margins
         for number in range(self.rounds):
