@@ -146,7 +146,7 @@ class SoftmaxBoosting:
         if len(labels) < 2:
             raise ValueError("boosting needs at least two different classes")
         base = [math.log(counts[label] / n) for label in labels]
-        edges = bin_edges(data, n, self.bins)
+        edges = bin_edges(data, self.bins)
         place = F.array_position(F.array(*map(F.lit, labels)), F.col("_y").cast("int")) - 1
         placed = _binned(data, self.label, edges, 0.0).select("_x", place.cast("int").alias("_y"))
         cells = placed.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_n"))

@@ -17,8 +17,10 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
@@ -30,8 +32,10 @@ from ..schema import SEED
 from ..session import stage, stage_folder
 
 VECTOR = "features"
-# Thresholds of bins come from at most about this many rows, chosen by a hash of their values.
-BINNING_ROWS = 50_000
+# A feature's values are cut into this many cells to find its quantiles; the sketch that gives the cuts errs
+# by at most one part in ``SKETCH`` of the rows.
+CELLS = 2_000
+SKETCH = 10_000
 # Residuals are whole multiples of the label's spread over this.
 UNITS = 1 << 30
 # Margins are written after so many trees; between, they are computed from those trees.
@@ -129,7 +133,6 @@ def _share_column(*parts: Column) -> Column:
 
 @dataclass
 class _Label:
-    rows: int
     mean: float
     unit: float  # a residual of 1 in whole units is 1 / unit
 
@@ -143,30 +146,68 @@ def _label(rows: DataFrame, label: str) -> _Label:
     spread = max(found.high - found.low, 1e-200) if found.high > found.low else 1.0
     unit = 2.0 ** math.floor(math.log2(UNITS / spread))
     total = rows.agg(F.sum(F.round((F.col(label) - found.low) * unit).cast("long")).alias("s")).first().s
-    return _Label(found.n, found.low + total / unit / found.n, unit)
+    return _Label(found.low + total / unit / found.n, unit)
 
 
-def bin_edges(rows: DataFrame, n_rows: int, bins: int) -> list[list[float]]:
-    """Per feature the values that part its bins: quantiles, repeats left out; a bin starts at its edge."""
-    values = rows.select(vector_to_array(VECTOR).alias("_x"))
-    if n_rows > BINNING_ROWS:
-        values = values.filter(F.pmod(F.xxhash64("_x"), F.lit(n_rows)) < BINNING_ROWS)
-    ranks = F.array(*(F.lit(k / bins) for k in range(1, bins)))
-    found = values.select(F.posexplode("_x").alias("feature", "value")).groupBy("feature").agg(
-        F.percentile("value", ranks).alias("edges"), F.min("value").alias("low")
+def bin_edges(rows: DataFrame, bins: int) -> list[list[float]]:
+    """Per feature the values that part its bins: quantiles of all rows, repeats left out; a bin starts at its edge.
+
+    Cuts from a sketch part a feature's values into cells, and all rows are counted by cell, which
+    tells the cell of every wanted rank; the sketch's error only makes cells more or less even. In
+    those cells values are counted one by one, and running counts find the ranks. So no task holds a
+    feature's values, and the driver gets the counts of the cells and at most two values per edge.
+    """
+    shares = ", ".join(f"{k / CELLS!r}D" for k in range(CELLS))
+    near = rows.select(F.posexplode(vector_to_array(VECTOR)).alias("feature", "value")).groupBy("feature").agg(
+        F.expr(f"percentile_approx(value, array({shares}), {SKETCH})").alias("cuts")
     )
-    by_feature = {row.feature: sorted({e for e in row.edges if e > row.low}) for row in found.collect()}
-    return [by_feature[k] for k in sorted(by_feature)]
+    cuts = [sorted({c for c in row.cuts if math.isfinite(c)}) for row in sorted(near.collect(), key=lambda r: r.feature)]
+    cells = _placed(rows, [], cuts).select(F.posexplode(F.arrays_zip("_x", "_v")).alias("feature", "_c"))
+    cells = cells.select("feature", F.col("_c._x").cast("int").alias("cell"), F.col("_c._v").alias("value"))
+    sizes = cells.groupBy("feature", "cell").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("_s"))
+    positions, wanted = [], []
+    for row in sizes.select("feature", "_s.cell", "_s.n").orderBy("feature").collect():
+        upto = list(accumulate(row.n))
+        positions.append([(upto[-1] - 1) * (k / bins) for k in range(bins)])
+        for rank in sorted({f(p) for p in positions[-1] for f in (math.floor, math.ceil)}):
+            k = bisect_right(upto, rank)
+            wanted.append((row.feature, row.cell[k], rank - upto[k] + row.n[k], rank))
+    # A row per wanted rank, counted from 0 in its cell (``at``) and in all rows.
+    ranks = F.broadcast(rows.sparkSession.createDataFrame(wanted, "feature int, cell int, at long, rank long"))
+    counted = cells.join(ranks, ["feature", "cell"], "left_semi").groupBy("feature", "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = counted.withColumn("upto", F.sum("n").over(Window.partitionBy("feature", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    found = upto.join(ranks, ["feature", "cell"]).filter("at < upto AND at >= upto - n")
+    values = {(row.feature, row.rank): row.value for row in found.select("feature", "rank", "value").collect()}
+    edges = []
+    for feature, own in enumerate(positions):
+        at = [_between(p, values[feature, math.floor(p)], values[feature, math.ceil(p)]) for p in own]
+        edges.append(sorted({e for e in at if e > at[0]}))  # the first is the least value
+    return edges
+
+
+def _between(position: float, low: float, high: float) -> float:
+    """The value at a position between two ranks, as ``percentile`` computes it."""
+    return low if low == high else (math.ceil(position) - position) * low + (position - math.floor(position)) * high
+
+
+def _placed(rows: DataFrame, keep: Sequence[Column], edges: list[list[float]]) -> DataFrame:
+    """``keep``, the values ``_v``, and ``_x``: the number of each feature's edges up to its value."""
+    values = rows.select(*keep, vector_to_array(VECTOR).alias("_v"))
+    kept, single = values.columns[:-1], [f"_v{k}" for k in range(len(edges))]
+    # -0.0 + 0.0 is 0.0: the bucketizer tells the two zeros apart, comparisons and groups do not.
+    wide = values.select(*kept, *((F.get("_v", F.lit(k)) + F.lit(0.0)).alias(name) for k, name in enumerate(single)))
+    splits = [[-math.inf, *own, math.inf] if own else [-math.inf, 0.0, math.inf] for own in edges]
+    names = [f"_b{k}" for k in range(len(edges))]
+    wide = Bucketizer(splitsArray=splits, inputCols=single, outputCols=names).transform(wide)
+    found = F.array(*(F.col(n).cast("short") if own else F.lit(0).cast("short") for n, own in zip(names, edges)))
+    return wide.select(*kept, F.array(*single).alias("_v"), found.alias("_x"))
 
 
 def _binned(rows: DataFrame, label: str, edges: list[list[float]], start: float) -> DataFrame:
     """``_x`` (bin numbers), the label and the margin so far."""
-    values = rows.select(F.col(label).cast("double").alias("_y"), vector_to_array(VECTOR).alias("_v"))
-    wide = values.select("_y", *(F.get("_v", F.lit(k)).alias(f"_v{k}") for k in range(len(edges))))
-    splits = [[-math.inf, *own, math.inf] if own else [-math.inf, 0.0, math.inf] for own in edges]
-    names = [f"_b{k}" for k in range(len(edges))]
-    wide = Bucketizer(splitsArray=splits, inputCols=[f"_v{k}" for k in range(len(edges))], outputCols=names).transform(wide)
-    return wide.select("_y", F.array(*(F.col(n).cast("short") if own else F.lit(0).cast("short") for n, own in zip(names, edges))).alias("_x"), F.lit(start).alias("_f"))
+    placed = _placed(rows, [F.col(label).cast("double").alias("_y")], edges)
+    return placed.select("_y", "_x", F.lit(start).alias("_f"))
 
 
 # The best split of every node and feature. The gain is the sum of T(G)**2 / (n + l2) of both sides less
@@ -225,7 +266,7 @@ class HistogramBoosting:
 
     def fit(self, data: DataFrame) -> TreeEnsemble:
         label = _label(data, self.label)
-        edges = bin_edges(data, label.rows, self.bins)
+        edges = bin_edges(data, self.bins)
         folder = stage_folder(data.sparkSession)
         table = stage(_binned(data, self.label, edges, label.mean), folder, "binned0")
         done: list[Tree] = []

@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 
 from meterflow.models.softmax import SoftmaxBoosting, SoftmaxEnsemble, _softmax
@@ -76,6 +77,16 @@ def test_equals_plain_numpy(spark, data, more):
     assert np.abs(found.sum(axis=1) - 1).max() < 1e-12
 
 
+def test_edges_come_from_all_rows_of_a_large_table(spark):
+    x = np.random.default_rng(3).lognormal(sigma=2.0, size=(60_000, 2))
+    y = np.array(LABELS)[np.searchsorted([0.4, 3.0], x[:, 0] * x[:, 1])]
+    rows = spark.createDataFrame([(a, b, int(c), k) for k, ((a, b), c) in enumerate(zip(x.tolist(), y, strict=True))], "a double, b double, hour int, row int")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    model = SoftmaxBoosting("hour", "chances", rounds=2, step=0.3, depth=1, min_leaf=5, bins=8)
+    found = np.array([r.chances for r in model.fit(rows).transform(rows).orderBy("row").collect()])
+    assert np.abs(found - plain(x, y, model)).max() < 1e-6
+
+
 def test_loss_falls_every_round_and_models_are_kept(spark, data, tmp_path):
     x, y = data
     rows = table(spark, x, y)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from meterflow.models import trees
 from meterflow.models.trees import HistogramBoosting, RandomisedTrees, TreeEnsemble
@@ -68,6 +70,23 @@ def test_boosting_equals_plain_numpy(spark, data, more):
     assert np.abs(np.array([r.out for r in scored]) - plain_boosting(x, y, model)).max() < 1e-6
 
 
+@pytest.mark.parametrize(("n", "bins"), [(1, 8), (2, 16), (900, 255), (60_000, 32)])
+def test_edges_are_exact_quantiles_of_all_rows(spark, n, bins):
+    rng = np.random.default_rng(n)
+    x = np.stack([
+        rng.lognormal(sigma=3.0, size=n), rng.integers(-2, 3, n).astype(float), np.where(rng.random(n) < 0.9, 7.0, rng.random(n)),
+        np.full(n, 1.5), rng.normal(size=n) * 1e-300, np.where(rng.random(n) < 0.5, -0.0, rng.normal(size=n).round(2)),
+    ], axis=1)
+    rows = spark.createDataFrame([(a,) for a in x.tolist()], "v array<double>").repartition(5).select(array_to_vector("v").alias("features"))
+    edges = trees.bin_edges(rows, bins)
+    for found, values in zip(edges, x.T, strict=True):
+        wanted = sorted({e for e in np.quantile(values, np.arange(1, bins) / bins) if e > values.min()})
+        assert np.allclose(found, wanted, rtol=1e-12, atol=0)
+    bins_of = [[int(np.searchsorted(e, v, "right")) for e, v in zip(edges, row, strict=True)] for row in x]
+    placed = trees._binned(rows.withColumn("y", F.lit(0)), "y", edges, 0.0).select("_x").collect()
+    assert sorted(list(r[0]) for r in placed) == sorted(bins_of)
+
+
 def test_trees_do_not_depend_on_partitions(spark, data):
     x, y = data
     for model in (
